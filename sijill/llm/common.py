@@ -35,7 +35,7 @@ def remainder(doc_id: Column, n: int) -> Column:
 def input_bytes(df: DataFrame) -> int:
     """Catalyst's estimate of what the plan reads or makes, 1 at least."""
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return max(1, int(size.toString()))
+    return max(1, int(str(size)))
 
 
 def parts(df: DataFrame, each: int = 16 << 20, least: int = 8) -> int:

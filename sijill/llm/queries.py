@@ -1,17 +1,31 @@
-"""The queries of this package, one opN_<name> for each operator, and the pipeline."""
+"""The queries of this package, one opN_<name> for each operator, with production parameters."""
 
 from __future__ import annotations
 
-from . import secrets
+from . import packing, secrets, tokenids
 from .common import table
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_secrets(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op3_tokenids(spark, sf_dir):
+    return tokenids.encode_and_read(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+def op6_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 def queries() -> dict:
-    return {"op1_secrets": op1_secrets}
+    return {"op1_secrets": op1_secrets, "op3_tokenids": op3_tokenids, "op6_packing": op6_packing}
 
 
 def oracle_sql() -> dict[str, str]:

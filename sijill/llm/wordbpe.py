@@ -16,35 +16,78 @@ import numpy as np
 class WordEncoder:
     #: Words kept between batches. It bounds memory only; ids don't depend on it.
     KEEP = 300_000
+    #: Letters up to this one are their own canonical form and have a simple lower case.
+    SIMPLE = "\u00ff"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.lib = Tokenizer.from_file(path)
-        self.lib.no_truncation()
-        self.lib.no_padding()
+        self.lib, self.bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        for t in (self.lib, self.bare):
+            t.no_truncation()
+            t.no_padding()
+        # words that are single runs of simple letters in lower case go through the merges alone
+        self.bare.normalizer = None
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        suffix = self.bare.model.end_of_word_suffix
+        vocabulary = self.lib.get_vocab(with_added_tokens=False)
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, i in vocabulary.items():
+            self.last[i] = token.endswith(suffix)
+        self.marks = {m: self.plain([m])[0] for m in ",."}
         self.known: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+
+    @staticmethod
+    def cut(flat: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        raw, ends = flat.astype("<u4").tobytes(), (ends * 4).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def plain(self, words: list[str]) -> list[bytes]:
+        """Ids of words of any kind."""
+        out = []
+        for at in range(0, len(words), 20_000):
+            ids = [e.ids for e in self.lib.encode_batch_fast(words[at : at + 20_000], add_special_tokens=False)]
+            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+            out += self.cut(np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum())), np.cumsum(lengths))
+        return out
+
+    def simple(self, words: list[str]) -> list[bytes]:
+        """Ids of runs of simple lower-case letters; each ends at a token that ends words."""
+        out = []
+        for at in range(0, len(words), 20_000):
+            lines = [" ".join(words[i : i + 100]) for i in range(at, min(at + 20_000, len(words)), 100)]
+            flat = np.concatenate([np.array(e.ids, np.uint32) for e in self.bare.encode_batch_fast(lines, add_special_tokens=False)])
+            out += self.cut(flat, np.flatnonzero(self.last[flat]) + 1)
+        return out
+
+    def learn(self, new: set[str]) -> None:
+        known, stems, of = self.known, self.stems, {}
+        for w in new:
+            stem = w[:-1] if w[-1:] in (",", ".") else w
+            if stem.isalpha() and max(stem) <= self.SIMPLE:
+                of[w] = stem.lower()
+        fresh = list(set(of.values()).difference(stems))
+        stems.update(zip(fresh, self.simple(fresh), strict=True))
+        for w, stem in of.items():
+            known[w] = stems[stem] + self.marks[w[-1]] if w[-1] in ",." else stems[stem]
+        rest = list(new.difference(of))
+        known.update(zip(rest, self.plain(rest), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
-        known = self.known
-        if len(known) > self.KEEP:
-            known.clear()
+        if len(self.known) > self.KEEP:
+            self.known.clear()
+            self.stems.clear()
         cut = [t.replace("\n", " ").split(" ") for t in texts]
         new: set[str] = set()
         for words in cut:
             new.update(words)
-        new.difference_update(known)
-        fresh = list(new)
-        for at in range(0, len(fresh), 20_000):
-            some = fresh[at : at + 20_000]
-            ids = [e.ids for e in self.lib.encode_batch_fast(some, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((i for x in ids for i in x), "<u4", int(lengths.sum())).tobytes()
-            ends = (np.cumsum(lengths) * 4).tolist()
-            known.update(zip(some, (flat[a:b] for a, b in zip([0, *ends], ends)), strict=False))
-        of = known.__getitem__
+        new.difference_update(self.known)
+        self.learn(new)
+        of = self.known.__getitem__
         return [b"".join(map(of, words)) for words in cut]
 
 
