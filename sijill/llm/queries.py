@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import packing, secrets, tokenids
+from . import bpe, packing, secrets, tokenids
 from .common import table
 
 
@@ -20,12 +20,16 @@ def op3_tokenids(spark, sf_dir):
     return tokenids.encode_and_read(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op4_bpe(spark, sf_dir):
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 def op6_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
 def queries() -> dict:
-    return {"op1_secrets": op1_secrets, "op3_tokenids": op3_tokenids, "op6_packing": op6_packing}
+    return {f.__name__: f for f in (op1_secrets, op3_tokenids, op4_bpe, op6_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
