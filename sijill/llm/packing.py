@@ -88,7 +88,6 @@ def merged(pieces: list[tuple], length: int = LENGTH) -> list[list[tuple]]:
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = END_ID, length: int = LENGTH, most: int = OPEN) -> DataFrame:
     """One row a piece: where its ids stand in its document and in its sequence."""
-    end = np.array([end_id], "<u4").tobytes()
     schema = f"{PIECE}, ids binary, part long"
 
     def run(batches):
@@ -106,8 +105,10 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = END_ID, length: int = LE
         for batch in batches:
             doc_ids, some = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in chunked(some):
-                for doc_id, ids in zip(doc_ids[a:b], enc.encode(some[a:b]), strict=True):
-                    packer.add(doc_id, ids + end)
+                flat, n = enc.encode(some[a:b], end_id)
+                raw, ends = flat.tobytes(), (4 * np.cumsum(n)).tolist()
+                for doc_id, x, y in zip(doc_ids[a:b], [0, *ends], ends):
+                    packer.add(doc_id, raw[x:y])
                 yield made(packer.done, first)
                 first += len(packer.done)
                 packer.done = []

@@ -24,8 +24,6 @@ END_ID = 1
 
 def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) -> list[tuple[int, str, int, int]]:
     """Writes the files; returns (number, uri, ids, ids before) of each, in order."""
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
@@ -34,14 +32,14 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) ->
         for batch in batches:
             some = batch.column(1).to_pylist()
             for a, b in chunked(some):
-                coded = enc.encode(some[a:b])
-                lengths += [len(x) // 4 + 1 for x in coded]
-                ids.append(end.join(coded) + end)
+                flat, n = enc.encode(some[a:b], end_id)
+                lengths += n.tolist()
+                ids.append(flat)
             doc_ids += batch.column(0).to_pylist()
         if not doc_ids:
             return
         number = TaskContext.get().partitionId()
-        flat = np.frombuffer(b"".join(ids), "<u4")
+        flat = np.concatenate(ids)
         ids.clear()
         uri = f"{folder}/{number:08d}.s8b"
         write_file(uri, simple8b.encode_file(doc_ids, lengths, flat))

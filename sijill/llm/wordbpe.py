@@ -9,13 +9,15 @@ a word, where the library treats it.
 from __future__ import annotations
 
 import os
+from collections import defaultdict
+from itertools import count, islice
 
 import numpy as np
 
 
 class WordEncoder:
     #: Words kept between batches. It bounds memory only; ids don't depend on it.
-    KEEP = 300_000
+    KEEP = 400_000
     #: Letters up to this one are their own canonical form and have a simple lower case.
     SIMPLE = "\u00ff"
 
@@ -37,8 +39,12 @@ class WordEncoder:
         for token, i in vocabulary.items():
             self.last[i] = token.endswith(suffix)
         self.marks = {m: self.plain([m])[0] for m in ",."}
-        self.known: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Words get numbers as they are met; the ids of word i are pool[at[i]:at[i + 1]]."""
+        self.index: dict = defaultdict(count().__next__)
+        self.pool, self.at = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     @staticmethod
     def cut(flat: np.ndarray, ends: np.ndarray) -> list[bytes]:
@@ -63,32 +69,46 @@ class WordEncoder:
             out += self.cut(flat, np.flatnonzero(self.last[flat]) + 1)
         return out
 
-    def learn(self, new: set[str]) -> None:
-        known, stems, of = self.known, self.stems, {}
+    def learn(self, new: list) -> None:
+        """Appends the ids of new words to the pool."""
+        stems: dict[str, bytes] = {}
+        of, rest = [], []
         for w in new:
             stem = w[:-1] if w[-1:] in (",", ".") else w
-            if stem.isalpha() and max(stem) <= self.SIMPLE:
-                of[w] = stem.lower()
-        fresh = list(set(of.values()).difference(stems))
-        stems.update(zip(fresh, self.simple(fresh), strict=True))
-        for w, stem in of.items():
-            known[w] = stems[stem] + self.marks[w[-1]] if w[-1] in ",." else stems[stem]
-        rest = list(new.difference(of))
-        known.update(zip(rest, self.plain(rest), strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """For each text its ids as little-endian unsigned 32-bit integers."""
-        if len(self.known) > self.KEEP:
-            self.known.clear()
-            self.stems.clear()
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        new: set[str] = set()
-        for words in cut:
-            new.update(words)
-        new.difference_update(self.known)
-        self.learn(new)
-        of = self.known.__getitem__
-        return [b"".join(map(of, words)) for words in cut]
+            if stem.isalpha() and (stem.isascii() or max(stem) <= self.SIMPLE):
+                stem = stem.lower()
+                stems[stem] = b""
+                of.append(stem)
+            else:
+                of.append(None)
+                rest.append(w)
+        names = list(stems)
+        stems.update(zip(names, self.simple(names), strict=True))
+        others, marks = iter(self.plain(rest)), self.marks
+        ids = [next(others) if stem is None else stems[stem] + marks[w[-1]] if w[-1] in marks else stems[stem] for w, stem in zip(new, of, strict=True)]
+        ends = self.at[-1] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 4)
+        self.at = np.concatenate([self.at, ends])
+        self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(ids), "<u4")])
+
+    def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts, one after the other and each with the end id, and how many each has."""
+        if len(self.index) > self.KEEP:
+            self.forget()
+        words, numbers, known = [], [], len(self.index)
+        for t in texts:
+            own = t.replace("\n", " ").split(" ")
+            words += own
+            numbers.append(len(own))
+        codes = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        self.learn(list(islice(self.index, known, None)))
+        starts = self.at[codes]
+        lengths = self.at[codes + 1] - starts
+        ends = np.cumsum(lengths)
+        last = np.cumsum(numbers)  # words up to each text's end
+        before = np.concatenate([[0], ends])
+        per_text = before[last] - before[last - numbers]
+        ids = self.pool[np.arange(before[-1]) + np.repeat(starts - (ends - lengths), lengths)]
+        return np.insert(ids, before[last], np.uint32(end)).astype("<u4"), per_text + 1
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -101,7 +121,7 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
-def chunked(texts: list[str], chars: int = 4_000_000):
+def chunked(texts: list[str], chars: int = 16_000_000):
     """Index ranges of about so many characters, one text at least."""
     a = n = 0
     for i, t in enumerate(texts):
