@@ -24,7 +24,7 @@ from .common import texts
 # The pattern that cuts texts into pieces before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: White space other than space and line end; texts that hold it are cut by the pattern as a whole.
-ODD_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0  -     　]")
+ODD_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: White space with the word after it: the pattern cuts such a unit as it would within the text.
 UNIT = re.compile(r"[ \n]+[^ \n]*|[^ \n]+")
 NONE = np.int64(1 << 62)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, packing, secrets, tokenids
+from . import bpe, packing, secrets, tokenids, toxicity
 from .common import table
 
 
@@ -28,8 +28,12 @@ def op6_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op9_toxicity(spark, sf_dir):
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_secrets, op3_tokenids, op4_bpe, op6_packing)}
+    return {f.__name__: f for f in (op1_secrets, op3_tokenids, op4_bpe, op6_packing, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
