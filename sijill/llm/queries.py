@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, lm, packing, secrets, tokenids, toxicity
+from . import bpe, hnsw, lm, packing, secrets, tokenids, topk, toxicity
 from .common import table
 
 
@@ -28,16 +28,24 @@ def op4_bpe(spark, sf_dir):
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op5_hnsw(spark, sf_dir):
+    return hnsw.search(table(spark, sf_dir, "embeddings"))
+
+
 def op6_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op7_topk(spark, sf_dir):
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
 def op9_toxicity(spark, sf_dir):
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_secrets, op2_lm, op3_tokenids, op4_bpe, op6_packing, op9_toxicity)}
+    return {f.__name__: f for f in (op1_secrets, op2_lm, op3_tokenids, op4_bpe, op5_hnsw, op6_packing, op7_topk, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
