@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, hnsw, lm, packing, secrets, tokenids, topk, toxicity
+from . import bpe, hnsw, lm, ordermin, packing, secrets, tokenids, topk, toxicity
 from .common import table
 
 
@@ -44,8 +44,12 @@ def op9_toxicity(spark, sf_dir):
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_ordermin(spark, sf_dir):
+    return ordermin.classes(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_secrets, op2_lm, op3_tokenids, op4_bpe, op5_hnsw, op6_packing, op7_topk, op9_toxicity)}
+    return {f.__name__: f for f in (op1_secrets, op2_lm, op3_tokenids, op4_bpe, op5_hnsw, op6_packing, op7_topk, op9_toxicity, op10_ordermin)}
 
 
 def oracle_sql() -> dict[str, str]:
