@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, hnsw, lm, ordermin, packing, secrets, tokenids, topk, toxicity
+from . import bpe, hnsw, lm, ordermin, packing, repeats, secrets, tokenids, topk, toxicity
 from .common import table
 
 
@@ -40,6 +40,10 @@ def op7_topk(spark, sf_dir):
     return topk.search(table(spark, sf_dir, "embeddings"))
 
 
+def op8_repeats(spark, sf_dir):
+    return repeats.dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "removed")
+
+
 def op9_toxicity(spark, sf_dir):
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -49,7 +53,7 @@ def op10_ordermin(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_secrets, op2_lm, op3_tokenids, op4_bpe, op5_hnsw, op6_packing, op7_topk, op9_toxicity, op10_ordermin)}
+    return {f.__name__: f for f in (op1_secrets, op2_lm, op3_tokenids, op4_bpe, op5_hnsw, op6_packing, op7_topk, op8_repeats, op9_toxicity, op10_ordermin)}
 
 
 def oracle_sql() -> dict[str, str]:

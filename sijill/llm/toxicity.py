@@ -178,30 +178,37 @@ def curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(w[0], 0.0)), float(w[1])
 
 
+class Sums:
+    """The weights of a text's different words, added up; what is known of words is kept while it is little."""
+
+    def __init__(self, model: Model):
+        self.model, self.known, self.heavy = model, set(), {}
+
+    def of(self, text: str) -> float:
+        found = tokens(text)
+        new = found - self.known
+        if new:
+            if len(self.known) > 300_000:
+                self.known.clear()
+                self.heavy.clear()
+                new = found
+            self.known |= new
+            for token in new:
+                w = self.model.weight(token)
+                if w:
+                    self.heavy[token] = w
+        return math.fsum(self.heavy[f] for f in found & self.heavy.keys())
+
+
 def summed(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
-    """doc_id, the columns to keep, and x: the weights of a text's different words, added up."""
+    """doc_id, the columns to keep, and x: the sum of each text."""
 
     def run(batches):
         import pyarrow as pa
 
-        known: set[str] = set()
-        heavy: dict[str, float] = {}
+        sums = Sums(model)
         for batch in batches:
-            x = []
-            for t in batch.column("text").to_pylist():
-                found = tokens(t)
-                new = found - known
-                if new:
-                    if len(known) > 300_000:  # bounds memory only
-                        known.clear()
-                        heavy.clear()
-                        new = found
-                    known |= new
-                    for token in new:
-                        w = model.weight(token)
-                        if w:
-                            heavy[token] = w
-                x.append(math.fsum(heavy[f] for f in found & heavy.keys()))
+            x = [sums.of(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(batch.column(k) for k in keep), pa.array(x, pa.float64())],
                                              names=["doc_id", *keep, "x"])
 
@@ -210,6 +217,21 @@ def summed(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id long, {kinds}, x double")
 
 
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of docs, with all their columns, that score below one half."""
+    model, at = fit(docs, labels), docs.columns.index("text")
+
+    def run(batches):
+        import pyarrow as pa
+
+        sums = Sums(model)
+        for batch in batches:
+            keep = [sums.of(t or "") * model.slope + model.offset < 0 for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row a document: doc_id, held_out, score, predicted."""
     model = fit(docs, labels)
