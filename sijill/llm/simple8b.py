@@ -36,16 +36,20 @@ def encode_block(values: np.ndarray) -> np.ndarray:
     values = values.astype(np.uint64)
     width = widths(values)
     most = int(width.max())
-    padded_width = np.concatenate([width, np.zeros(COUNTS[0], width.dtype)])
     chosen = np.full(n, ESCAPE, np.int8)
-    fits = np.arange(n)  # what fits a selector also fits those with fewer values of more bits
     for s in range(len(COUNTS) - 1, -1, -1):
-        if BITS[s] < most:
-            for k in range(COUNTS[s]):
-                fits = fits[padded_width[fits + k] <= BITS[s]]
-        if not len(fits):
-            break
-        chosen[fits] = s
+        if BITS[s] >= most:
+            chosen[:] = s
+            continue
+        fits, run = np.ones(n + COUNTS[s], bool), 1  # past the end anything fits
+        np.less_equal(width, BITS[s], out=fits[:n])
+        while run < COUNTS[s]:  # fits[i] tells of the `run` values from i on
+            step = min(run, COUNTS[s] - run)
+            fits[:-step] &= fits[step:]
+            run += step
+        if not fits[:n].any():
+            break  # fewer bits for more values fit nowhere either
+        chosen[fits[:n]] = s
     step = np.array([*COUNTS, 1])[chosen].tolist()
     starts, i = [], 0
     while i < n:
@@ -62,10 +66,9 @@ def encode_block(values: np.ndarray) -> np.ndarray:
             words[place[rows]] = np.uint64(ESCAPE << 60)
             words[place[rows] + 1] = values[starts[rows]]
             continue
-        word = np.full(len(rows), s << 60, np.uint64)
-        for k in range(COUNTS[s]):
-            word |= padded[starts[rows] + k] << np.uint64(k * BITS[s])
-        words[place[rows]] = word
+        k = np.arange(COUNTS[s])
+        parts = padded[starts[rows][:, None] + k] << (k * BITS[s]).astype(np.uint64)
+        words[place[rows]] = np.bitwise_or.reduce(parts, axis=1) | np.uint64(s << 60)
     return words
 
 
@@ -86,8 +89,8 @@ def decode_block(words: np.ndarray, count: int) -> np.ndarray:
             continue
         rows = np.flatnonzero((selector == s) & ~raw)
         some, low = words[rows], np.uint64((1 << BITS[s]) - 1)
-        for k in range(COUNTS[s]):
-            out[starts[rows] + k] = (some >> np.uint64(k * BITS[s])) & low
+        k = np.arange(COUNTS[s])
+        out[starts[rows][:, None] + k] = (some[:, None] >> (k * BITS[s]).astype(np.uint64)) & low
     out[starts[raw]] = words[raw]
     return out[:count]
 

@@ -17,7 +17,7 @@ import numpy as np
 
 class WordEncoder:
     #: Words kept between batches. It bounds memory only; ids don't depend on it.
-    KEEP = 400_000
+    KEEP = 600_000
     #: Letters up to this one are their own canonical form and have a simple lower case.
     SIMPLE = "\u00ff"
 
