@@ -4,7 +4,8 @@ Each shard holds, for each dimension, its rows in the order of that component. A
 down the lists side by side, from the top where its own component is positive and from the
 bottom where it is negative, some rows at a time; rows met for the first time get their full
 score. No row that isn't met yet can score more than the query times the components at which
-the lists stand, and once that bound is below the k-th score the search stops.
+the lists stand, and once that bound is below the k-th score the search stops. Where it can't
+stop before the lists have met half of a shard, the other half is met at once.
 
 Components are turned into floor(scale * x). Scores are exact as long as they fit 53 bits, else
 they are added up as 64-bit integers. Queries only meet vectors of their own length. Equal rows
@@ -50,10 +51,10 @@ class Lists:
         while depth < n:
             upto = min(n, max(STEP, 2 * depth))
             fresh = np.zeros(n, bool)
-            if len(dims):
+            if len(dims) and 2 * np.count_nonzero(met) < n:
                 fresh[self.order[n - upto : n - depth, dims[down]].ravel()] = True
                 fresh[self.order[depth:upto, dims[~down]].ravel()] = True
-            else:  # all scores are equal
+            else:  # the lists would meet little else than what is met, or all scores are equal
                 fresh[:], upto = True, n
             fresh &= ~met
             met |= fresh
