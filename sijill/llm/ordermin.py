@@ -11,8 +11,8 @@ compared with one leader of it: in half of the sketches the node whose buckets a
 in the other half an arbitrary one, so buckets of any size make as many pairs as they have
 members. Pairs that agree in too few sketches for the wanted similarity are left out, the
 others are aligned: the longest common subsequence of their labelled k-mers within the band that
-the similarity admits, over the k-mers of both. A second round compares the classes that
-still meet in a bucket by other members. Classes are the connected components of the links.
+the similarity admits, over the k-mers of both. A second round compares nodes that still meet in a bucket without
+a common neighbour, with other leaders. Classes are the connected components of the links.
 
 A document is what has one doc_id; rows that share it are linked. Null and empty texts form one
 class, as texts of the same (no) words do. A null doc_id counts as one id and stays null. The
@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, mix, parts, texts
+from .common import checkpointed, kept, mix, texts
 from .wordbpe import chunked
 
 K, SKETCHES, TAKE = 5, 20, 3
@@ -138,7 +138,7 @@ def sketched(docs: DataFrame) -> DataFrame:
         import pyarrow as pa
         from xxhash import xxh3_128_digest
 
-        known = Words()
+        known = kept("mers", Words)
         for batch in batches:
             ids, some = batch.column(0), batch.column(1).to_pylist()
             for a, b in chunked(some, 6_000_000):
@@ -166,7 +166,7 @@ def hashed_words(docs: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        known = Words()
+        known = kept("mers", Words)
         for batch in batches:
             out = []
             for t in batch.column(1).to_pylist():
@@ -179,16 +179,22 @@ def hashed_words(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, words binary")
 
 
-def led(members: DataFrame) -> DataFrame:
-    """Pairs (leader, node) of buckets (key, node, class, arbitrary) that hold more than one class."""
-    several = members.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("key")
-    met = members.join(several, "key")
-    weights = met.groupBy("node").agg(F.count(F.lit(1)).alias("weight"))
-    met = met.join(weights, "node")
+def led(members: DataFrame, weighted: bool) -> DataFrame:
+    """Pairs (a, b) of a leader and a node of buckets (key, node, class, arbitrary) that hold more than one class.
+
+    With weights, leaders of the buckets that aren't arbitrary are the nodes whose buckets are largest.
+    """
     chance = F.xxhash64("key", "node")
-    rank = F.struct(F.when(F.col("arbitrary"), chance).otherwise(F.col("weight")).alias("rank"), (-F.col("node")).alias("low"), F.col("node").alias("leader"), F.col("class").alias("of"))
-    leaders = met.groupBy("key").agg(F.max(rank).alias("l")).select("key", "l.leader", "l.of")
-    return (met.join(leaders, "key").filter("class != of")
+    rank = chance
+    if weighted:
+        sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+        members = members.join(sizes, "key")
+        weights = members.groupBy("node").agg(F.sum("size").alias("weight"))
+        members = members.join(weights, "node")
+        rank = F.when(F.col("arbitrary"), chance).otherwise(F.col("weight"))
+    best = F.max(F.struct(rank.alias("rank"), (-F.col("node")).alias("low"), F.col("node").alias("leader"), F.col("class").alias("of")))
+    leaders = members.groupBy("key").agg(best.alias("l"), F.min("class").alias("least"), F.max("class").alias("most")).filter("least < most")
+    return (members.select("key", "node", "class").join(leaders.select("key", "l.leader", "l.of"), "key").filter("class != of")
             .select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct())
 
 
@@ -235,33 +241,34 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def nearby(links: DataFrame) -> DataFrame:
+    """(node, class): the least node among a node and its neighbours, a first step towards components."""
+    ends = F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("a").alias("near")), F.struct(F.col("b").alias("node"), F.col("a").alias("near"))))
+    return links.select(ends.alias("e")).select("e.*").groupBy("node").agg(F.min("near").alias("class"))
+
+
 def classes(docs: DataFrame, least: float = SIMILARITY, agree: int = AGREE, rounds: int = 2) -> DataFrame:
     """One row a document: doc_id and class_id, the least doc_id of those it is alike to, directly or through others."""
     spark = docs.sparkSession
     found = checkpointed(spark, sketched(docs))
-    firsts = found.groupBy("same").agg(F.min("doc_id").alias("node"))
-    of = checkpointed(spark, found.select("doc_id", "same").distinct().join(firsts, "same").select("doc_id", "node"))
-    sketch = checkpointed(spark, found.join(of.filter("doc_id = node").select("doc_id", "node").distinct(), "doc_id").select("node", "sketch").filter(F.size("sketch") > 0).dropDuplicates(["node"]))
-    copies = of.filter("doc_id != node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+    nodes = checkpointed(spark, found.groupBy("same").agg(F.min("doc_id").alias("node"), F.any_value("sketch").alias("sketch")))
+    of = checkpointed(spark, found.select("doc_id", "same").join(nodes.select("same", "node"), "same").groupBy("doc_id").agg(F.min("node").alias("node"), F.max("node").alias("other")))
+    sketch = nodes.filter(F.size("sketch") > 0).select("node", "sketch")  # a node may have several: texts that share their least doc_id
     # rows of one doc_id with different words link those words' nodes
+    links = of.filter("node != other").select(F.col("node").alias("a"), F.col("other").alias("b"))
     source = texts(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NOBODY)))
     buckets = sketch.select("node", F.posexplode("sketch").alias("i", "key")).select("node", "key", (F.col("i") % 2 == 1).alias("arbitrary"))
-    labels, links, seen = None, None, None
-    for _ in range(rounds):
-        members = buckets.withColumn("class", F.col("node"))
-        if labels is not None:
-            members = (buckets.join(labels.withColumnRenamed("class", "root"), "node", "left").withColumn("class", F.coalesce("root", "node")).drop("root"))
-        pairs = led(members)
-        if seen is not None:
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
+    seen = None
+    for turn in range(rounds):
+        if turn:
+            members = buckets.join(nearby(links).withColumnRenamed("class", "root"), "node", "left").withColumn("class", F.coalesce("root", "node")).drop("root")
+            pairs = led(members, False).join(seen, ["a", "b"], "left_anti")
+        else:
+            pairs = led(buckets.withColumn("class", F.col("node")), True)
         pairs = checkpointed(spark, agreeing(pairs, sketch, agree))
-        good = checkpointed(spark, verified(pairs, source, least))
-        links = good if links is None else links.unionByName(good)
+        links = links.unionByName(checkpointed(spark, verified(pairs, source, least)))
         seen = pairs if seen is None else seen.unionByName(pairs)
-        labels = components(links)
-    whole = components(links.unionByName(copies)) if copies.limit(1).count() else labels
-    ids = of.select("doc_id").distinct()
-    out = ids.join(whole.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("class_id", F.coalesce("class", "doc_id"))
+    out = of.select("doc_id", "node").join(components(links), "node", "left").withColumn("class_id", F.coalesce("class", "node"))
     null = lambda c: F.when(F.col(c) != NOBODY, F.col(c)).alias(c)
     return out.select(null("doc_id"), null("class_id"))
 
