@@ -19,7 +19,7 @@ import re
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import texts
+from .common import kept, texts
 
 # The pattern that cuts texts into pieces before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -253,13 +253,8 @@ class BPE:
         return b"".join(self.bytes[i] for i in ids).decode("utf-8", "replace")
 
 
-_loaded: dict[str, BPE] = {}
-
-
 def loaded(path: str) -> BPE:
-    if path not in _loaded:
-        _loaded[path] = BPE(path)
-    return _loaded[path]
+    return kept(("bytes", path), lambda: BPE(path))
 
 
 def encode_decode(docs: DataFrame, tokenizer: str) -> DataFrame:

@@ -130,5 +130,22 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+_kept: dict = {}
+
+
+def kept(kind, make=None):
+    """What a Python worker keeps between tasks: one thing at a time, so that the operators of a pipeline don't add up. Without make, nothing."""
+    if kind not in _kept:
+        import ctypes
+
+        _kept.clear()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)  # else freed memory stays with the worker
+        except (AttributeError, OSError):
+            pass
+        _kept[kind] = make() if make else None
+    return _kept[kind]
+
+
 def crc32(data) -> int:
     return zlib.crc32(data) & 0xFFFFFFFF

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import WordHashes, checkpointed, parts, read_file, remainder, shared_folder, texts, write_file
+from .common import WordHashes, checkpointed, kept, parts, read_file, remainder, shared_folder, texts, write_file
 from .wordbpe import chunked
 
 FOLDS, HELD_OUT = 7, 2
@@ -145,17 +145,17 @@ def per_task(docs: DataFrame, count) -> DataFrame:
     """Blobs of what count(texts) finds in each chunk, added up within each task."""
 
     def run(batches):
-        hashes, kept = WordHashes(), {}
+        hashes, counted = kept("hashes", WordHashes), {}
         for batch in batches:
             some = batch.column("text").to_pylist()
             for a, b in chunked(some, CHUNK):
                 for base, keys in count(Tokens(some[a:b], hashes)).items():
-                    kept.setdefault(base, []).append(summed(keys))
-                for base, found in kept.items():
+                    counted.setdefault(base, []).append(summed(keys))
+                for base, found in counted.items():
                     if len(found) >= 8:
-                        kept[base] = [summed(*map(np.concatenate, zip(*found, strict=True)))]
+                        counted[base] = [summed(*map(np.concatenate, zip(*found, strict=True)))]
         rows = []
-        for (base, ranges), found in kept.items():
+        for (base, ranges), found in counted.items():
             rows += dealt(*summed(*map(np.concatenate, zip(*found, strict=True))), ranges, base)
         for a in range(0, len(rows), 64):
             yield blob_batch(rows[a : a + 64])
@@ -366,7 +366,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        hashes, lookup, names = WordHashes(), Lookup(model), [c.split()[0] for c in OUT.split(", ")]
+        hashes, lookup, names = kept("hashes", WordHashes), Lookup(model), [c.split()[0] for c in OUT.split(", ")]
         for batch in batches:
             doc_ids, some, held = (batch.column(k).to_pylist() for k in ("doc_id", "text", "held_out"))
             for a, b in chunked(some, CHUNK):

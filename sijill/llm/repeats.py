@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import kept, texts
 from .ordermin import NOBODY, SPACED
 
 MIN_WORDS, SOLID = 10, 5
@@ -73,6 +73,7 @@ def held(docs: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        kept("repeats")
         for batch in batches:
             ids, found, n = batch.column(0).to_pylist(), [], []
             for t in batch.column(1).to_pylist():
@@ -101,6 +102,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        kept("repeats")
         text_at = columns.index("text")
         for batch in batches:
             arrays = [batch.column(i) for i in range(len(columns))]

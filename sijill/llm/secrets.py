@@ -15,7 +15,7 @@ import re
 
 from pyspark.sql import DataFrame
 
-from .common import texts
+from .common import kept, texts
 
 # The patterns of the base kinds.
 ASSIGN = r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -67,8 +67,8 @@ class Scanner:
         return len(c.compress(text))
 
     def novelty(self, text: str, start: int, end: int) -> int:
-        """Marginal compressed bytes of a candidate against what stands around it."""
-        before, after = text[max(0, start - AROUND) : start], text[end : end + AROUND]
+        """Marginal compressed bytes of a candidate against what stands around it, other candidates left out: a secret's copies don't excuse it."""
+        before, after = self.run.sub(" ", text[max(0, start - AROUND) : start]), self.run.sub(" ", text[end : end + AROUND])
         context, tail = (before + after).encode(), before[-16:].encode()
         return self.size(context, tail + text[start:end].encode()) - self.size(context, tail)
 
@@ -115,7 +115,7 @@ def scan(docs: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        scanner = Scanner()
+        scanner = kept("secrets", Scanner)
         for batch in batches:
             rows = {k: [] for k in ("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_novel")}
             rows["doc_id"] = batch.column(0).to_pylist()
@@ -141,7 +141,7 @@ def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        scanner = Scanner()
+        scanner = kept("secrets", Scanner)
         for batch in batches:
             i, out = columns.index("text"), []
             for text in batch.column(i).to_pylist():

@@ -20,6 +20,8 @@ from .common import crc32, parts, read_file, shared_folder, texts, write_file
 from .wordbpe import chunked, encoder
 
 END_ID = 1
+#: Words that a worker knows between batches.
+KEEP = 1_000_000
 
 
 def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) -> list[tuple[int, str, int, int]]:
@@ -28,7 +30,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, end_id: int = END_ID) ->
         import pyarrow as pa
         from pyspark import TaskContext
 
-        enc, doc_ids, lengths, ids = encoder(tokenizer), [], [], []
+        enc, doc_ids, lengths, ids = encoder(tokenizer, KEEP), [], [], []
         for batch in batches:
             some = batch.column(1).to_pylist()
             for a, b in chunked(some):

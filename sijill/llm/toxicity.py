@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, remainder, texts
+from .common import checkpointed, kept, remainder, texts
 
 TRAIN_ROWS, FOLDS = 20_000, 5
 LEAST_TOXIC, LEAST_WEIGHT, LEAST_EVIDENCE, MOST_FEATURES = 4, 2.0, 12.0, 5_000
@@ -206,6 +206,7 @@ def summed(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        kept("toxicity")
         sums = Sums(model)
         for batch in batches:
             x = [sums.of(t) for t in batch.column("text").to_pylist()]
@@ -224,6 +225,7 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        kept("toxicity")
         sums = Sums(model)
         for batch in batches:
             keep = [sums.of(t or "") * model.slope + model.offset < 0 for t in batch.column(at).to_pylist()]

@@ -14,14 +14,15 @@ from itertools import count, islice
 
 import numpy as np
 
+from .common import kept
+
 
 class WordEncoder:
-    #: Words kept between batches. It bounds memory only; ids don't depend on it.
-    KEEP = 600_000
     #: Letters up to this one are their own canonical form and have a simple lower case.
     SIMPLE = "\u00ff"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, keep: int = 400_000):
+        self.keep = keep  # words known between batches; it bounds memory only, ids don't depend on it
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -92,7 +93,7 @@ class WordEncoder:
 
     def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, one after the other and each with the end id, and how many each has."""
-        if len(self.index) > self.KEEP:
+        if len(self.index) > self.keep:
             self.forget()
         words, numbers, known = [], [], len(self.index)
         for t in texts:
@@ -111,17 +112,12 @@ class WordEncoder:
         return np.insert(ids, before[last], np.uint32(end)).astype("<u4"), per_text + 1
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, keep: int = 400_000) -> WordEncoder:
     """One encoder for each Python worker."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    return kept(("words", path, keep), lambda: WordEncoder(path, keep))
 
 
-def chunked(texts: list[str], chars: int = 16_000_000):
+def chunked(texts: list[str], chars: int = 8_000_000):
     """Index ranges of about so many characters, one text at least."""
     a = n = 0
     for i, t in enumerate(texts):
