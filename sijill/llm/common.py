@@ -39,8 +39,11 @@ def input_bytes(df: DataFrame) -> int:
 
 
 def parts(df: DataFrame, each: int = 16 << 20, least: int = 8) -> int:
-    """Number of partitions of about `each` bytes of compressed input."""
-    return int(min(1_000_000, max(least, -(-input_bytes(df) // each))))
+    """Number of partitions of about `each` bytes of compressed input; where its size isn't known, of the session's shuffles."""
+    size = input_bytes(df)
+    if size >= 1 << 60:  # what Catalyst takes for unknown
+        return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return int(min(1_000_000, max(least, -(-size // each))))
 
 
 def checkpointed(spark: SparkSession, df: DataFrame) -> DataFrame:

@@ -242,7 +242,7 @@ def fit(docs: DataFrame, ranges: int | None = None) -> Model:
         order = np.argsort(first, kind="stable") if bucket >= ranges else np.arange(len(first))
         firsts, sorted_counts = first[order], counts[order]
         starts = np.flatnonzero(np.concatenate([[True], firsts[1:] != firsts[:-1]]))
-        context = [np.add.reduceat(x, starts).astype(np.int64) for x in (sorted_counts, sorted_counts == 1, sorted_counts == 2, sorted_counts >= 3)]
+        context = [np.add.reduceat(x.astype(np.int64), starts) for x in (sorted_counts, sorted_counts == 1, sorted_counts == 2, sorted_counts >= 3)]
         if bucket < ranges:
             save(f"{folder}/contexts-{bucket}", first=firsts[starts].astype("<u4"), **{f"c{i}": np.minimum(c, 2**32 - 1).astype("<u4") for i, c in enumerate(context)})
             hot = np.zeros((0, 5), np.int64)
