@@ -83,7 +83,7 @@ class Model:
         """What a token may say: its runs of letters, and the restored word."""
         core = token.strip(EDGE)
         out = [core] if core.isalpha() else RUNS.findall(core)
-        if core and DISGUISED.search(core):
+        if core and (" " in core or DISGUISED.search(core)):
             out.append(self.restore(core))
         return out
 
