@@ -18,8 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(df: DataFrame, rows: int = 2000) -> DataFrame:
+    """df; batches between the engine and Python hold so many rows from now on, as texts are large."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return df
+
+
 def texts(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id as long and text, null as empty, besides other columns that are asked for."""
+    small_batches(docs)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),

@@ -141,8 +141,8 @@ def sketched(docs: DataFrame) -> DataFrame:
         known = kept("mers", Words)
         for batch in batches:
             ids, some = batch.column(0), batch.column(1).to_pylist()
-            for a, b in chunked(some, 6_000_000):
-                if len(known) > 400_000:  # bounds memory only
+            for a, b in chunked(some, 2_000_000):
+                if len(known) > 150_000:  # bounds memory only
                     known.clear()
                 flat, lengths, same = [], [], []
                 for t in some[a:b]:
@@ -170,7 +170,7 @@ def hashed_words(docs: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for t in batch.column(1).to_pylist():
-                if len(known) > 400_000:
+                if len(known) > 150_000:
                     known.clear()
                 own = words(t)
                 out.append(np.fromiter(map(known.__getitem__, own), np.uint32, len(own)).tobytes())

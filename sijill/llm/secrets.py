@@ -15,7 +15,7 @@ import re
 
 from pyspark.sql import DataFrame
 
-from .common import kept, texts
+from .common import kept, small_batches, texts
 
 # The patterns of the base kinds.
 ASSIGN = r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -134,7 +134,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """docs with each span of a secret replaced by the mask; n_chars, if there is one, follows the text."""
-    columns, n_chars = docs.columns, "n_chars" in docs.columns
+    columns, n_chars = small_batches(docs).columns, "n_chars" in docs.columns
     schema = docs.schema
 
     def run(batches):

@@ -190,7 +190,7 @@ class Sums:
         found = tokens(text)
         new = found - self.known
         if new:
-            if len(self.known) > 300_000:
+            if len(self.known) > 200_000:
                 self.known.clear()
                 self.heavy.clear()
                 new = found
