@@ -34,7 +34,7 @@ K, SKETCHES, TAKE = 5, 20, 3
 SIMILARITY = 0.8
 #: Agreeing sketches below which a pair isn't aligned: at the wanted similarity, ten are expected and two or fewer have a probability of 2e-4.
 AGREE = 3
-NOBODY = -(2**63)
+NOBODY = 1 - 2**63
 SPACED = bytes(32 if b < 128 and not chr(b).isalnum() else b for b in range(256))
 
 
