@@ -4,12 +4,12 @@ A token that looks disguised (letters mixed with look-alike signs, letters stret
 set apart) is a lattice of what each character may stand for: itself, a look-alike letter, or
 nothing. Viterbi decoding under a character trigram model of the corpus picks the likeliest
 restored word. Words, as written and as restored, are scored by their own and their prefixes'
-log-odds of standing in toxic documents; a logistic curve turns a document's sum into a score.
+prefixes' weights in a logistic regression over the features with the greatest log-odds.
 
 The classifier is fitted on at most TRAIN_ROWS labelled documents outside the held-out fold,
-the first by a hash of doc_id: four fifths for the weights, the rest for the curve. Documents
+the first by a hash of doc_id. Documents
 labelled twice count as toxic if any label says so; null labels are ignored. Null and empty
-texts get the curve's value at zero. Repeated rows each give a row.
+texts get the regression's value without features. Repeated rows each give a row.
 """
 
 from __future__ import annotations
@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from .common import checkpointed, kept, remainder, texts
 
 TRAIN_ROWS, FOLDS = 20_000, 5
-LEAST_TOXIC, LEAST_WEIGHT, LEAST_EVIDENCE, MOST_FEATURES = 4, 2.0, 10.0, 5_000
-#: One document in so many fits the curve, the others the weights.
-CURVE_SHARE = 5
+LEAST_TOXIC, LEAST_WEIGHT, LEAST_EVIDENCE, MOST_FEATURES, PENALTY = 4, 2.0, 10.0, 400, 0.03
+#: Of the toxic documents this share, and LEAST_TOXIC at least, must hold a feature: rarer ones mark copies of one document rather than toxicity.
+LEAST_SHARE = 0.015
 PREFIXES = (4, 5, 6)
 
 # Letters that signs and digits look like.
@@ -50,7 +50,6 @@ class Model:
     trigrams: dict[str, int] = field(default_factory=dict)
     bigrams: dict[str, int] = field(default_factory=dict)
     weights: dict[str, float] = field(default_factory=dict)
-    slope: float = 1.0
     offset: float = -2.0
 
     def letter(self, before: str, c: str) -> float:
@@ -89,8 +88,9 @@ class Model:
             out.append(self.restore(core))
         return out
 
-    def weight(self, token: str) -> float:
-        return max((self.weights.get(f, 0.0) for word in self.forms(token) for f in features(word)), default=0.0)
+    def weighed(self, token: str) -> tuple[str, ...]:
+        """Features of what a token may say that have a weight."""
+        return tuple({f for word in self.forms(token) for f in features(word) if f in self.weights})
 
 
 def features(word: str) -> list[str]:
@@ -129,22 +129,20 @@ def letter_counts(some: list[str], toxic: list[int]) -> Counter:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Letters, weights and curve; what reaches the driver is bounded by the alphabet and the parameters."""
+    """Letters and weights; what reaches the driver is bounded by the alphabet and the parameters."""
     spark, model = docs.sparkSession, Model()
     chosen = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
               .filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id"), FOLDS) != 0))
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
               .withColumn("place", F.xxhash64("doc_id")).orderBy("place", "doc_id").limit(TRAIN_ROWS))
-    # the broadcast side holds TRAIN_ROWS rows of three numbers at most
-    train = texts(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic", (F.pmod("place", F.lit(CURVE_SHARE)) != 0).alias("first"))
-    train = checkpointed(spark, train)
-    half, other = train.filter("first"), train.filter("not first")
-    sizes = {r.toxic: r.n for r in half.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # the broadcast side holds TRAIN_ROWS rows of two numbers at most
+    train = checkpointed(spark, texts(docs).join(F.broadcast(chosen.drop("place")), "doc_id").select("doc_id", "text", "toxic"))
+    sizes = {r.toxic: r.n for r in train.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
         return model
 
-    model.trigrams = {r.key: r.n for r in counted(half, letter_counts).collect()}
+    model.trigrams = {r.key: r.n for r in counted(train, letter_counts).collect()}
     for key, n in model.trigrams.items():
         model.bigrams[key[:2]] = model.bigrams.get(key[:2], 0) + n
 
@@ -157,31 +155,48 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             return found
         return count
 
-    seen = counted(half.filter("toxic = 1"), of_documents(None)).filter(F.col("n") >= LEAST_TOXIC)
-    seen = {r.key: r.n for r in seen.orderBy(F.desc("n"), "key").limit(4 * MOST_FEATURES).collect()}
-    clean = {r.key: r.n for r in counted(half.filter("toxic = 0"), of_documents(set(seen))).collect()}
+    seen = counted(train.filter("toxic = 1"), of_documents(None)).filter(F.col("n") >= max(LEAST_TOXIC, LEAST_SHARE * n_toxic))
+    seen = {r.key: r.n for r in seen.orderBy(F.desc("n"), "key").limit(20 * MOST_FEATURES).collect()}
+    clean = {r.key: r.n for r in counted(train.filter("toxic = 0"), of_documents(set(seen))).collect()}
     weights = {f: math.log((n + 0.5) / (n_toxic + 1)) - math.log((clean.get(f, 0) + 0.5) / (n_clean + 1)) for f, n in seen.items()}
     best = sorted((f for f, w in weights.items() if w >= LEAST_WEIGHT and w * seen[f] >= LEAST_EVIDENCE), key=lambda f: (-weights[f] * math.sqrt(seen[f]), f))
-    model.weights = {f: weights[f] for f in best[:MOST_FEATURES]}
-    sums = np.array([(r.x, r.toxic) for r in summed(other, model, "toxic").select("x", "toxic").collect()]).reshape(-1, 2)
-    model.slope, model.offset = curve(sums[:, 0], sums[:, 1])
+    best = best[:MOST_FEATURES]
+    model.weights = dict.fromkeys(best, 1.0)
+    place = {f: i for i, f in enumerate(best)}
+
+    def present(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = [sorted({place[f] for token in tokens(t) for f in model.weighed(token)}) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.list_(pa.int32()))], names=["toxic", "found"])
+
+    rows = train.select("toxic", "text").mapInArrow(present, "toxic int, found array<int>").collect()  # a sample's few features
+    x, y = np.zeros((len(rows), len(best) + 1), np.float32), np.array([r.toxic for r in rows], np.float32)
+    x[:, -1] = 1
+    for i, r in enumerate(rows):
+        x[i, r.found] = 1
+    w = regression(x, y)
+    model.weights, model.offset = dict(zip(best, w[:-1].tolist(), strict=True)), float(w[-1])
     return model
 
 
-def curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the logistic curve, by Newton's method with a weak prior."""
-    w, a = np.zeros(2), np.column_stack([x, np.ones_like(x)])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + 0.01 * np.eye(2), a.T @ (y - p) - 0.01 * w)
-        w += np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-8:
+def regression(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: int = 25) -> np.ndarray:
+    """Weights of a logistic regression by Newton's method, penalised but for the last."""
+    w, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], penalty)
+    ridge[-1] = 1e-6
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        h = (x.T @ (x * np.maximum(p * (1 - p), 1e-6)[:, None].astype(np.float32))).astype(np.float64) + np.diag(ridge)
+        step = np.linalg.solve(h, x.T @ (y - p) - ridge * w)
+        w += step * min(1.0, 3.0 / max(np.abs(step).max(), 1e-12))
+        if np.abs(step).max() < 1e-4:
             break
-    return float(max(w[0], 0.0)), float(w[1])
+    return w
 
 
 class Sums:
-    """The weights of a text's different words, added up; what is known of words is kept while it is little."""
+    """The weights of a text's different features, added up; what is known of words is kept while it is little."""
 
     def __init__(self, model: Model):
         self.model, self.known, self.heavy = model, set(), {}
@@ -196,10 +211,10 @@ class Sums:
                 new = found
             self.known |= new
             for token in new:
-                w = self.model.weight(token)
-                if w:
-                    self.heavy[token] = w
-        return math.fsum(self.heavy[f] for f in found & self.heavy.keys())
+                own = self.model.weighed(token)
+                if own:
+                    self.heavy[token] = own
+        return math.fsum(self.model.weights[f] for f in {f for token in found & self.heavy.keys() for f in self.heavy[token]})
 
 
 def summed(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
@@ -230,7 +245,7 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
         kept("toxicity")
         sums = Sums(model)
         for batch in batches:
-            keep = [sums.of(t or "") * model.slope + model.offset < 0 for t in batch.column(at).to_pylist()]
+            keep = [sums.of(t or "") + model.offset < 0 for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
@@ -240,5 +255,5 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row a document: doc_id, held_out, score, predicted."""
     model = fit(docs, labels)
     found = summed(texts(docs, (remainder(F.col("doc_id"), FOLDS) == 0).alias("held_out")), model, "held_out")
-    p = 1 / (1 + F.exp(-(F.col("x") * model.slope + model.offset)))
+    p = 1 / (1 + F.exp(-(F.col("x") + model.offset)))
     return found.select("doc_id", "held_out", p.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -343,7 +343,7 @@ def test_toxicity_held_out(spark):
     both = toxicity.score(docs, labels).filter("held_out").join(labels.filter("toxic is not null"), "doc_id").select("predicted", "toxic").collect()
     right = sum(r.predicted == r.toxic for r in both) / len(both)
     toxic = [r.predicted for r in both if r.toxic == 1]
-    assert len(both) > 500 and right > 0.97 and sum(toxic) / len(toxic) > 0.9
+    assert len(both) > 500 and right > 0.97 and sum(toxic) / len(toxic) > 0.85
 
 
 def test_restored():
