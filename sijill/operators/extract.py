@@ -65,9 +65,11 @@ def trimmed_name(c: Column) -> Column:
 
 def entities(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame:
     """Institutions: key, entity_name_ar, entity_type, place (kinds in their order, then the text's), role; the first of each name in a document."""
-    per_kind = [F.transform(F.regexp_extract_all(F.col(body), F.lit(rf"(?U)\b{first}\s+{v.ENTITY_WORD}(?:\s+{v.ENTITY_WORD}){{0,2}}"), F.lit(0)),
-                            lambda m, kind=kind: F.struct(F.lit(kind).alias("entity_type"), trimmed_name(m).alias("entity_name_ar")))
-                for kind, first in v.ENTITY_KINDS]
+    def named(kind: str, first: str) -> Column:
+        caught = F.regexp_extract_all(F.col(body), F.lit(rf"(?U)\b{first}\s+{v.ENTITY_WORD}(?:\s+{v.ENTITY_WORD}){{0,2}}"), F.lit(0))
+        return F.transform(caught, lambda m: F.struct(F.lit(kind).alias("entity_type"), trimmed_name(m).alias("entity_name_ar")))
+
+    per_kind = [named(kind, first) for kind, first in v.ENTITY_KINDS]
     found = docs.select(key, F.posexplode(F.concat(*per_kind)).alias("place", "e")).select(key, "place", "e.*").filter("entity_name_ar is not null")
     by_name = Window.partitionBy(key, "entity_name_ar").orderBy("place")
     found = found.withColumn("n", F.row_number().over(by_name)).filter("n = 1").drop("n")

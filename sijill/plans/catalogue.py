@@ -284,22 +284,27 @@ def x_legal_basis(spark, sf_dir):
     return statutes(spark, sf_dir).select("doc_slug", F.explode(metadata.legal_basis(F.col("text"))).alias("basis"))
 
 
-@query()
+SECTION_REF = "(المادة|الفقرة|البند)\\s*[(]?\\s*(\\d+|[٠-٩]+|" + v.ORDINAL + ")\\s*[)]?\\s*(من\\s+[\\x{0600}-\\x{06FF}]+(\\s+[\\x{0600}-\\x{06FF}]+){0,3})?"
+
+
+@query(f"""WITH statutes AS ({STATUTES}), m AS (SELECT doc_slug, unnest(regexp_extract_all(text, '{SECTION_REF}')) AS raw, unnest(regexp_extract_all(text, '{SECTION_REF}', 2)) AS num, unnest(regexp_extract_all(text, '{SECTION_REF}', 3)) AS context FROM statutes)
+SELECT DISTINCT doc_slug, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS ref_text, translate(num, '٠١٢٣٤٥٦٧٨٩', '0123456789') AS article_number, CASE WHEN regexp_matches(context, 'هذا القانون|هذا النظام|أعلاه|أدناه') THEN 'same_law' WHEN contains(context, 'الدستور') THEN 'constitution' ELSE 'article_reference' END AS ref_type
+FROM m WHERE length(num) <= 5""")
 def x_section_refs(spark, sf_dir):
     return statutes(spark, sf_dir).select("doc_slug", F.explode(extract.section_references(F.col("text"))).alias("r")).select("doc_slug", "r.*")
 
 
 ENTITIES_SQL = f"""statutes AS ({STATUTES}), named AS (
 SELECT doc_slug, 'وزارة ' || CASE doc_id % 4 WHEN 0 THEN 'العدل' WHEN 1 THEN 'المالية والتخطيط' WHEN 2 THEN 'الصحة' ELSE 'التربية والتعليم' END AS entity_name_ar, 'ministry' AS entity_type, 'issuer' AS role FROM statutes
-UNION ALL SELECT doc_slug, 'مجلس الوزراء', 'council', 'mentioned' FROM statutes UNION ALL SELECT doc_slug, 'دائرة ضريبة', 'department', 'mentioned' FROM statutes)"""
+UNION ALL SELECT doc_slug, 'مجلس الوزراء', 'council', 'mentioned' FROM statutes UNION ALL SELECT doc_slug, 'دائرة ضريبة الدخل', 'department', 'mentioned' FROM statutes)"""
 
 
-@query()
+@query(f"WITH {ENTITIES_SQL} SELECT doc_slug, entity_name_ar, entity_type, role FROM named")
 def e_entities(spark, sf_dir):
     return extract.entities(statutes(spark, sf_dir), "doc_slug").select("doc_slug", "entity_name_ar", "entity_type", "role")
 
 
-@query()
+@query(f"WITH {ENTITIES_SQL}, s AS (SELECT DISTINCT entity_name_ar, entity_type, entity_type || '-' || substr(sha1(encode(entity_name_ar)), 1, 12) AS entity_slug FROM named) SELECT 'entity-' || entity_slug AS entity_id, entity_slug, entity_name_ar, entity_type FROM s")
 def e_registry(spark, sf_dir):
     return extract.entity_records(extract.entities(statutes(spark, sf_dir), "doc_slug"))
 

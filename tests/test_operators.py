@@ -66,7 +66,11 @@ def test_identifiers(spark):
 ])
 def test_entities(spark, said, names):
     df = spark.createDataFrame([(1, said)], "doc_id long, text string")
-    assert [r.entity_name_ar for r in extract.entities(df).orderBy("place").collect()] == names
+    found = extract.entities(df).orderBy("place").collect()
+    assert [r.entity_name_ar for r in found] == names
+    kinds = {"وزارة": "ministry", "مجلس": "council", "محكمة": "court", "دائرة": "department"}
+    assert [r.entity_type for r in found] == [kinds[n.split()[0]] for n in names]
+    assert [r.role for r in found] == ["issuer", "mentioned"][: len(names)]
 
 
 def sections_of(spark, said):
