@@ -372,7 +372,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             for a, b in chunked(some, CHUNK):
                 t = Tokens(some[a:b], hashes)
                 counts, logs = lookup.score(t)
-                base = np.log10((counts + 1) / ((model.tokens + 1) * (model.words + 1)))
+                base = np.log10((counts + 1) / (model.tokens + model.words + 1))
                 of = lambda x, t=t: np.add.reduceat(x, t.starts)
                 total = of(logs)
                 yield pa.RecordBatch.from_arrays([pa.array(doc_ids[a:b], pa.int64()), pa.array(held[a:b], pa.bool_()), pa.array(t.lengths, pa.int64()), pa.array(of((counts > 0).astype(np.int64))),

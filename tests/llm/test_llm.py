@@ -95,7 +95,7 @@ def restated(rows):
 
     for i, t in rows:
         w = tok(t)
-        yield (i, held(i), len(w), sum(uni[x] > 0 for x in w), n, sum(math.log10((uni[x] + 1) / ((n + 1) * (v + 1))) for x in w),
+        yield (i, held(i), len(w), sum(uni[x] > 0 for x in w), n, sum(math.log10((uni[x] + 1) / (n + v + 1)) for x in w),
                sum(math.log10(p(a, b)) for a, b in zip([b"\0start"] + w[:-1], w, strict=True)))
 
 
