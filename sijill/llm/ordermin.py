@@ -6,13 +6,15 @@ their number. A sketch takes, for each of several hash functions, the few k-mers
 lowest and joins them in the order in which they stand in the text, so two texts agree in a
 sketch if they share k-mers and their order.
 
-Texts of the same words form one node. Nodes that agree in a sketch meet in a bucket and are
-compared with one leader of it: in half of the sketches the node whose buckets are largest,
-in the other half an arbitrary one, so buckets of any size make as many pairs as they have
-members. Pairs that agree in too few sketches for the wanted similarity are left out, the
-others are aligned: the longest common subsequence of their labelled k-mers within the band that
-the similarity admits, over the k-mers of both. A second round compares nodes that still meet in a bucket without
-a common neighbour, with other leaders. Classes are the connected components of the links.
+Texts of the same words form one node. Nodes that agree in a sketch meet in a bucket. In two
+rounds they are compared with one leader of it, another one each time, so that groups of copies
+become classes at a cost in proportion to the members. Then all pairs of a bucket whose nodes
+aren't of one class yet are compared, so every two nodes of a bucket have been linked, directly
+or through others, or compared. No pair is left out but by bounds that hold for certain: the
+numbers of k-mers, and how many k-mers fall into each of BINS bins, limit what two texts have in
+common. The others are aligned: the longest common subsequence of their labelled k-mers within
+the band that the similarity admits, over the k-mers of both. Classes are the connected
+components of the links.
 
 A document is what has one doc_id; rows that share it are linked. Null and empty texts form one
 class, as texts of the same (no) words do. A null doc_id counts as one id and stays null. The
@@ -32,8 +34,8 @@ from .wordbpe import chunked
 
 K, SKETCHES, TAKE = 5, 20, 3
 SIMILARITY = 0.8
-#: Agreeing sketches below which a pair isn't aligned: at the wanted similarity, ten are expected and two or fewer have a probability of 2e-4.
-AGREE = 3
+#: Bins of the k-mers' counts; buckets of at most FEW nodes are joined, one of more than BLOCK is compared in pairs of blocks.
+BINS, FEW, BLOCK = 64, 64, 8192
 NOBODY = 1 - 2**63
 SPACED = bytes(32 if b < 128 and not chr(b).isalnum() else b for b in range(256))
 
@@ -107,6 +109,20 @@ def sketches(h: np.ndarray, count: np.ndarray, n: int = SKETCHES, take: int = TA
     return out
 
 
+def binned(h: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """How many k-mers of each text fall into each bin, 255 at most."""
+    at = np.repeat(np.arange(len(count)), count) * BINS + (h >> np.uint64(58)).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=len(count) * BINS), 255).astype(np.uint8).reshape(len(count), BINS)
+
+
+def possible(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, least: float) -> np.ndarray:
+    """Whether texts of these bins and numbers of k-mers can be as similar; false only if they surely aren't."""
+    low, high = np.minimum(nx, ny), np.maximum(nx, ny)
+    gap = np.clip(x.astype(np.int16) - y, 0, None).sum(axis=-1), np.clip(y.astype(np.int16) - x, 0, None).sum(axis=-1)
+    common = np.minimum(nx - gap[0], ny - gap[1])  # what one has too many of in a bin isn't common
+    return (low >= least * high - 1e-6) & (common >= least * (nx + ny - common) - 1e-6)
+
+
 def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
     """Similarity of two texts by their words' hashes: common k-mers in common order over all k-mers; 0 if it is surely below `least`."""
     (x, (na,)), (y, (nb,)) = mers(a, np.array([len(a)])), mers(b, np.array([len(b)]))
@@ -132,7 +148,7 @@ def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, same (a digest of the words) and sketch for each row."""
+    """doc_id, same (a digest of the words), sketch, number of k-mers and their bins for each row."""
 
     def run(batches):
         import pyarrow as pa
@@ -154,10 +170,11 @@ def sketched(docs: DataFrame) -> DataFrame:
                 found = sketches(h, count)
                 sizes = np.where(count > 0, SKETCHES, 0)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(found.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(same, pa.binary()), lists], names=["doc_id", "same", "sketch"])
+                bins = pa.array([r.tobytes() for r in binned(h, count)], pa.binary())
+                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(same, pa.binary()), lists, pa.array(count, pa.int64()), bins], names=["doc_id", "same", "sketch", "n", "bins"])
 
     ids = texts(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NOBODY)))
-    return ids.mapInArrow(run, "doc_id long, same binary, sketch array<long>")
+    return ids.mapInArrow(run, "doc_id long, same binary, sketch array<long>, n long, bins binary")
 
 
 def hashed_words(docs: DataFrame) -> DataFrame:
@@ -179,14 +196,14 @@ def hashed_words(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, words binary")
 
 
-def led(members: DataFrame, weighted: bool) -> DataFrame:
+def led(members: DataFrame, turn: int) -> DataFrame:
     """Pairs (a, b) of a leader and a node of buckets (key, node, class, arbitrary) that hold more than one class.
 
-    With weights, leaders of the buckets that aren't arbitrary are the nodes whose buckets are largest.
+    In the first turn, leaders of the buckets that aren't arbitrary are the nodes whose buckets are largest; else a hash of the turn decides.
     """
-    chance = F.xxhash64("key", "node")
+    chance = F.xxhash64("key", "node", F.lit(turn))
     rank = chance
-    if weighted:
+    if not turn:
         sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
         members = members.join(sizes, "key")
         weights = members.groupBy("node").agg(F.sum("size").alias("weight"))
@@ -198,11 +215,67 @@ def led(members: DataFrame, weighted: bool) -> DataFrame:
             .select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct())
 
 
-def agreeing(pairs: DataFrame, sketch: DataFrame, agree: int) -> DataFrame:
-    """Pairs whose sketches agree often enough."""
-    one, two = sketch.select(F.col("node").alias("a"), F.col("sketch").alias("x")), sketch.select(F.col("node").alias("b"), F.col("sketch").alias("y"))
-    same = F.size(F.filter(F.zip_with("x", "y", lambda x, y: x == y), lambda z: z))
-    return pairs.join(one, "a").join(two, "b").filter(same >= agree).select("a", "b")
+def arrays(batch) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of k-mers and bins of rows."""
+    return batch.column("n").to_numpy(), np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)
+
+
+def plausible(pairs: DataFrame, about: DataFrame, least: float) -> DataFrame:
+    """Pairs that can be as similar by their nodes' (node, n, bins)."""
+    one, two = about.select(F.col("node").alias("a"), F.col("n").alias("m"), F.col("bins").alias("x")), about.select(F.col("node").alias("b"), "n", F.col("bins").alias("y"))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("x", "y"))
+            good = possible(x, y, batch.column("m").to_numpy(), batch.column("n").to_numpy(), least)
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    # a node has several rows if texts share their least doc_id
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "m", "x", "n", "y").mapInArrow(run, "a long, b long").distinct()
+
+
+def others(members: DataFrame, about: DataFrame, least: float) -> DataFrame:
+    """All pairs (a, b) in buckets (key, node, class) of nodes of different classes that can be as similar."""
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    # every two blocks of a bucket meet in one group: a block goes to as many groups as there are blocks
+    meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("own", o).alias("i"), F.greatest("own", o).alias("j")))
+    members = members.join(sizes.select("key", "size", blocks.alias("blocks")), "key").join(about, "node")
+    few = members.filter(F.col("size") <= FEW)
+    one, two = (few.select("key", F.col("node").alias(k), F.col("class").alias(f"of_{k}"), F.col("n").alias(f"n_{k}")) for k in ("a", "b"))
+    near = F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b") - 1e-6
+    joined = plausible(one.join(two, "key").filter((F.col("a") < F.col("b")) & (F.col("of_a") != F.col("of_b")) & near).select("a", "b").distinct(), about, least)
+    members = (members.filter(F.col("size") > FEW).withColumn("own", own)
+               .select("key", "node", "class", "own", "n", "bins", F.explode(meets).alias("m")).select("key", "node", "class", "own", "n", "bins", "m.i", "m.j"))
+
+    def run(group):
+        import pyarrow as pa
+
+        # the group in order of k-mers: only a stretch of what follows a text is long enough for it
+        group = group.sort_by("n")
+        n, bins = arrays(group)
+        node, of, own = (group.column(c).to_numpy() for c in ("node", "class", "own"))
+        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        a, b = [], []
+        until = np.searchsorted(n, n / least + 1e-6, "right")
+        for r in range(len(n) - 1):
+            at = slice(r + 1, int(until[r]))
+            good = of[at] != of[r]
+            if i != j:
+                good &= own[at] != own[r]
+            good = np.flatnonzero(good)
+            if len(good):
+                good += r + 1
+                good = good[possible(bins[good], bins[r], n[good], n[r], least)]
+                a.append(np.minimum(node[good], node[r]))
+                b.append(np.maximum(node[good], node[r]))
+        a, b = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (a, b))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return members.groupBy("key", "i", "j").applyInArrow(run, "a long, b long").filter("a < b").unionByName(joined).distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
@@ -247,27 +320,40 @@ def nearby(links: DataFrame) -> DataFrame:
     return links.select(ends.alias("e")).select("e.*").groupBy("node").agg(F.min("near").alias("class"))
 
 
-def classes(docs: DataFrame, least: float = SIMILARITY, agree: int = AGREE, rounds: int = 2) -> DataFrame:
+def classes(docs: DataFrame, least: float = SIMILARITY, rounds: int = 2) -> DataFrame:
     """One row a document: doc_id and class_id, the least doc_id of those it is alike to, directly or through others."""
     spark = docs.sparkSession
     found = checkpointed(spark, sketched(docs))
-    nodes = checkpointed(spark, found.groupBy("same").agg(F.min("doc_id").alias("node"), F.any_value("sketch").alias("sketch")))
+    any_of = F.any_value(F.struct("sketch", "n", "bins")).alias("s")
+    nodes = checkpointed(spark, found.groupBy("same").agg(F.min("doc_id").alias("node"), any_of).select("same", "node", "s.*"))
     of = checkpointed(spark, found.select("doc_id", "same").join(nodes.select("same", "node"), "same").groupBy("doc_id").agg(F.min("node").alias("node"), F.max("node").alias("other")))
-    sketch = nodes.filter(F.size("sketch") > 0).select("node", "sketch")  # a node may have several: texts that share their least doc_id
+    sketch = nodes.filter(F.size("sketch") > 0)  # a node may have several: texts that share their least doc_id
+    about = sketch.select("node", "n", "bins")
     # rows of one doc_id with different words link those words' nodes
     links = of.filter("node != other").select(F.col("node").alias("a"), F.col("other").alias("b"))
     source = texts(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NOBODY)))
     buckets = sketch.select("node", F.posexplode("sketch").alias("i", "key")).select("node", "key", (F.col("i") % 2 == 1).alias("arbitrary"))
     seen = None
-    for turn in range(rounds):
-        if turn:
-            members = buckets.join(nearby(links).withColumnRenamed("class", "root"), "node", "left").withColumn("class", F.coalesce("root", "node")).drop("root")
-            pairs = led(members, False).join(seen, ["a", "b"], "left_anti")
-        else:
-            pairs = led(buckets.withColumn("class", F.col("node")), True)
-        pairs = checkpointed(spark, agreeing(pairs, sketch, agree))
+
+    def compared(pairs):
+        nonlocal links, seen
+        if seen is not None:
+            pairs = pairs.join(seen, ["a", "b"], "left_anti")
+        pairs = checkpointed(spark, pairs)
         links = links.unionByName(checkpointed(spark, verified(pairs, source, least)))
         seen = pairs if seen is None else seen.unionByName(pairs)
+
+    def known(by):
+        members = buckets.join(by.withColumnRenamed("class", "root"), "node", "left")
+        return members.withColumn("class", F.coalesce("root", "node")).drop("root")
+
+    for turn in range(rounds):
+        members = known(nearby(links)) if turn else buckets.withColumn("class", F.col("node"))
+        compared(plausible(led(members, turn), about, least))
+        if not turn:  # from here on only buckets of several nodes matter
+            shared = buckets.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("key")
+            buckets = checkpointed(spark, buckets.join(shared, "key", "left_semi"))
+    compared(others(known(components(links)).select("key", "node", "class").distinct(), about, least))
     out = of.select("doc_id", "node").join(components(links), "node", "left").withColumn("class_id", F.coalesce("class", "node"))
     null = lambda c: F.when(F.col(c) != NOBODY, F.col(c)).alias(c)
     return out.select(null("doc_id"), null("class_id"))

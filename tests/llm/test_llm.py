@@ -416,6 +416,29 @@ def test_near_duplicates_hot_group(spark):
     assert all(got[i] == 0 for i in range(300)) and all(got[i] == i for i in range(1000, 1020))
 
 
+def test_near_duplicates_within_a_template(spark):
+    """Pairs of near copies in buckets of many different texts are found, whoever leads the buckets."""
+    r = random.Random(5)
+    some = lambda n: [f"w{r.randint(0, 10**6)}" for _ in range(n)]
+    page, rows = some(300), []
+    for i in range(300):
+        own = page[:150] + some(150) + page[150:]
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join([*own[:200], "x", *own[201:]]))]
+    got = {x.doc_id: x.class_id for x in ordermin.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i in range(600)}
+
+
+def test_bounds_lose_no_pair():
+    r = random.Random(6)
+    for _ in range(300):
+        a = np.array([r.randrange(40) for _ in range(r.randint(1, 400))], np.uint32)
+        b = a.copy()
+        b[: r.randrange(len(a) // 4 + 1)] = 77
+        (x, n), (y, m) = (ordermin.mers(z, np.array([len(z)])) for z in (a, b))
+        if ordermin.aligned(a, b) >= 0.8:
+            assert ordermin.possible(ordermin.binned(x, n), ordermin.binned(y, m), n, m, 0.8).all()
+
+
 def test_near_duplicates_odd(odd_docs, no_docs):
     got = {r.doc_id: r.class_id for r in both(odd_docs, no_docs, ordermin.classes, 8)}  # one row a document
     assert got[1] == got[2] == got[3] == 1 and got[6] == 5 and got[7] == 7 and got[None] is None
