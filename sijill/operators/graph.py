@@ -25,17 +25,31 @@ def issued_by(docs: DataFrame, roles: DataFrame, name: str) -> DataFrame:
     return docs.join(hit, "doc_slug", "left_semi")
 
 
-def repeal_chains(edges: DataFrame, rel_type: str = "REPEALS", most: int = 100) -> DataFrame:
-    """start, terminal, hops: every path along edges of a kind from where one begins to where none goes on; a path ends before it would meet itself."""
+def repeal_chains(edges: DataFrame, rel_type: str = "REPEALS") -> DataFrame:
+    """start, terminal, hops: every path along edges of a kind from where one begins to where none goes on, of any length; a path ends before it would meet itself, but may begin with an edge to its own start. Edges without both ends are left out.
+
+    Paths are doubled: of `exact` all have 2^k hops, of `ended` all have fewer and lead to a terminal, so n hops take log n rounds.
+    """
     spark = edges.sparkSession
-    own = edges.filter(F.col("rel_type") == rel_type).select("source", "target").distinct()
-    return spark.sql(f"""
-        WITH RECURSIVE walk(start, at, path, hops) AS (
-          SELECT source, target, array(source, target), 1 FROM {{own}}
-          UNION ALL
-          SELECT w.start, e.target, concat(w.path, array(e.target)), w.hops + 1 FROM walk w JOIN {{own}} e ON e.source = w.at
-          WHERE NOT array_contains(w.path, e.target) AND w.hops < {int(most)})
-        SELECT start, at AS terminal, hops FROM walk w LEFT ANTI JOIN {{own}} e ON e.source = w.at""", own=own)
+
+    def kept(df):
+        return df.checkpoint() if spark.sparkContext.getCheckpointDir() else df.localCheckpoint()
+
+    def extended(paths, more):
+        more = more.select(F.col("start").alias("end"), F.col("end").alias("to"), F.col("path").alias("rest"))
+        rest = F.expr("slice(rest, 2, size(rest))")
+        return paths.join(more, "end").filter(~F.arrays_overlap("path", rest)).select("start", F.col("to").alias("end"), F.concat("path", rest).alias("path"))
+
+    own = kept(edges.filter((F.col("rel_type") == rel_type) & F.col("source").isNotNull() & F.col("target").isNotNull()).select("source", "target").distinct())
+    last = own.select(F.col("target").alias("start")).distinct().join(own.select(F.col("source").alias("start")), "start", "left_anti")
+    ended = last.select("start", F.col("start").alias("end"), F.array("start").alias("path"))
+    exact = own.filter("source != target").select(F.col("source").alias("start"), F.col("target").alias("end"), F.array("source", "target").alias("path"))
+    while not exact.isEmpty():
+        ended = kept(ended.unionByName(extended(exact, ended)))
+        exact = kept(extended(exact, exact))
+    found = ended.select("start", F.col("end").alias("terminal"), (F.size("path") - 1).alias("hops")).filter("hops > 0")
+    looped = own.filter("source = target").select(F.col("source").alias("start"))
+    return found.unionByName(found.join(looped, "start", "left_semi").withColumn("hops", F.col("hops") + 1))
 
 
 def section_tree(docs: DataFrame, sections: DataFrame) -> DataFrame:

@@ -167,6 +167,12 @@ def test_graph(spark):
     assert sorted(tuple(r) for r in graph.repeal_chains(e).collect()) == [("a", "c", 2), ("b", "c", 1)]
 
 
+def test_repeal_chains_of_any_length(spark):
+    rows = [(f"n{i:03}", f"n{i + 1:03}", "REPEALS") for i in range(300)] + [("n000", "n000", "REPEALS"), ("a", "b", "REPEALS"), ("b", "a", "REPEALS"), ("b", "n299", "REPEALS")]
+    got = sorted(tuple(r) for r in graph.repeal_chains(spark.createDataFrame(rows, "source string, target string, rel_type string")).collect())
+    assert got == sorted([(f"n{i:03}", "n300", 300 - i) for i in range(300)] + [("n000", "n300", 301), ("a", "n300", 3), ("b", "n300", 2)])
+
+
 def test_exports(spark, tmp_path):
     df = spark.createDataFrame([("s", None, True, ["أ", "b"], 0.5)], "assignment_id string, doc_id string, is_primary boolean, matched_keywords array<string>, confidence double")
     whole = export.relational(df, "document_topics")
