@@ -6,7 +6,8 @@ nothing. Viterbi decoding under a character trigram model of the corpus picks th
 restored word. Words, as written and as restored, are scored by their own and their prefixes'
 prefixes' weights in a logistic regression over the features with the greatest log-odds.
 
-The classifier is fitted on at most TRAIN_ROWS labelled documents outside the held-out fold,
+The language model counts the words of all documents, labelled or not, by their occurrences. Only
+the classifier is fitted on a sample: at most TRAIN_ROWS labelled documents outside the held-out fold,
 the first by a hash of doc_id. Documents
 labelled twice count as toxic if any label says so; null labels are ignored. Null and empty
 texts get the regression's value without features. Repeated rows each give a row.
@@ -120,11 +121,13 @@ def counted(docs: DataFrame, count) -> DataFrame:
 
 
 def letter_counts(some: list[str], toxic: list[int]) -> Counter:
+    """Trigrams of the texts' words, by occurrences, so that sums don't depend on batches."""
     found: Counter = Counter()
-    for word in {w for t in some for x in t.lower().split() for w in RUNS.findall(x)}:
+    for word, n in Counter(w for t in some for w in RUNS.findall(t.lower())).items():
         if all(c in LETTERS for c in word):
             w = f"^^{word}$"
-            found.update(w[i : i + 3] for i in range(len(word) + 1))
+            for i in range(len(word) + 1):
+                found[w[i : i + 3]] += n
     return found
 
 
@@ -142,7 +145,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if not n_toxic or not n_clean:
         return model
 
-    model.trigrams = {r.key: r.n for r in counted(train, letter_counts).collect()}
+    every = texts(docs, F.lit(0).alias("toxic"))  # the language model is of the whole corpus, not of the sample
+    model.trigrams = {r.key: r.n for r in counted(every, letter_counts).collect()}
     for key, n in model.trigrams.items():
         model.bigrams[key[:2]] = model.bigrams.get(key[:2], 0) + n
 

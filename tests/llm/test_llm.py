@@ -357,6 +357,15 @@ def test_restored():
     assert sums.of("an 1d10t here") == 5.0 and sums.of("so i d i o t it is") == 5.0 and sums.of("nothing, IDIOT!") == 5.0 and sums.of("") == 0.0
 
 
+def test_letters_of_the_whole_corpus(spark):
+    """Unlabelled documents count, and how rows fall into batches and partitions doesn't."""
+    docs = spark.createDataFrame([(1, "bad words"), (2, "good words"), *((i, "unlabelled zyzzyva") for i in range(3, 40))], "doc_id long, text string")
+    # crc32 of 1 and 2 isn't in the held-out fold
+    labels = spark.createDataFrame([(i, int(i % 2)) for i in range(1, 3)], "doc_id long, toxic int")
+    one, two = toxicity.fit(docs.coalesce(1), labels), toxicity.fit(docs.repartition(7), labels)
+    assert one.trigrams["zyz"] == 37 and one.trigrams == two.trigrams and one.trigrams["wor"] == 2
+
+
 def test_toxicity_odd(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1), (2, None), (5, 0), (5, 1), (99, 1), (None, 1)], "doc_id long, toxic int")
     found = both(odd_docs, no_docs, lambda d: toxicity.score(d, labels))
