@@ -1,12 +1,14 @@
-"""Substring dedup by hashing of lines and of the sentences within them.
-
-A text is cut into units at line ends, after sentence marks, and before words that begin with a
-capital letter, so that a passage which stands in the middle of a line has units of its own. A
-unit is normalised to its lower-case words and known by their hash. The digests of all texts
-are grouped; a unit is a repeat if a document with a smaller doc_id holds it, or if it stood
-earlier in its own text. Runs of repeats of at least MIN_WORDS words, among them one unit of
-SOLID words or more, are removed with the white space after them; their offsets in the original
-text are kept. Shorter repeats, such as common short sentences, stay.
+"""Substring dedup by hashing of passages of consecutive units.
+
+A text is cut into units at line ends, after sentence marks of many scripts, before words that
+begin with a capital letter, and before words (in scripts without spaces, characters) that a hash
+picks, so that a passage which stands in the middle of a line has units of its own whatever its
+case or script. Passages are the shortest rows of whole units of at least MIN_WORDS words, one
+from each unit on and one up to each unit; they are normalised to their lower-case words and
+known by their hash. In scripts without spaces two characters count as a word. A passage is a
+repeat if one document with a smaller doc_id holds it, or if it stood earlier in its own text
+without overlap. Repeats are removed with the white space after them; their offsets in the
+original text are kept. Shorter repeats, such as common short sentences, stay.
 
 Rows of one doc_id count as one document and don't remove each other's units. Null texts stay
 null; empty texts stay empty; a null doc_id ranks first. An empty table gives no rows.
@@ -23,19 +25,64 @@ from pyspark.sql import functions as F
 from .common import kept, texts
 from .ordermin import NOBODY, SPACED
 
-MIN_WORDS, SOLID = 10, 5
-CUT = re.compile(r"\n+|[.!?…]+[\"')\]]*[^\S\n]+|[^\S\n]+(?=[A-ZÀ-ÖØ-ÞΑ-ΩА-Я])")
+MIN_WORDS = 10
+#: One word of so many begins a unit.
+EVERY = 8
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\U00020000-\U0003ffff"
+PICKED = "".join(chr(c) for a, b in ((0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF)) for c in range(a, b + 1) if c * 0x9E3779B1 >> 16 & 7 == 0)
+CUT = re.compile(r"\n+|[.!?…؟۔।॥]+[\"')\]]*[^\S\n]+|[。！？、，；]+[」』）]*[^\S\n]*|[^\S\n]+(?=[A-ZÀ-ÖØ-ÞΑ-ΩА-Я])")
+WORD, LETTER = re.compile(r"\S+"), re.compile(f"[{UNSPACED}]")
+INNER = re.compile(f"(?<=[{UNSPACED}])(?=[{PICKED}])")
+
+
+class Picked(dict):
+    """Whether a word begins a unit, kept while the table is small."""
+
+    def __missing__(self, word: str) -> bool:
+        from xxhash import xxh3_64_intdigest
+
+        own = word.lower().encode("utf-8", "replace").translate(SPACED).strip()
+        if len(self) > 200_000:
+            self.clear()
+        p = self[word] = bool(own) and xxh3_64_intdigest(own) % EVERY == 0
+        return p
+
+
+picked = Picked()
 
 
-def units(text: str) -> tuple[list[int], list[bytes]]:
-    """Where each unit begins, and at last where the text ends; and each unit's words, joined."""
-    cuts = [0, *(m.end() for m in CUT.finditer(text))]
-    if cuts[-1] != len(text):
-        cuts.append(len(text))
+def units(text: str) -> tuple[list[tuple[int, int]], list[bytes]]:
+    """Where each passage begins and ends, both in ascending order; and each passage's words, joined."""
+    cuts = {0, len(text), *(m.end() for m in CUT.finditer(text)), *(m.start() for m in WORD.finditer(text) if picked[m[0]])}
+    unspaced = LETTER.search(text) is not None
+    if unspaced:
+        cuts.update(m.start() for m in INNER.finditer(text))
+    cuts = sorted(cuts)
     parts = [text[a:b] for a, b in zip(cuts, cuts[1:])]
     # one pass over all units: a byte that no text in UTF-8 has stands between them
     whole = b"\xff".join([p.encode("utf-8", "replace") for p in map(str.lower, parts)]).translate(SPACED)
-    return cuts, [b" ".join(u.split()) for u in whole.split(b"\xff")] if parts else []
+    at, words, sizes = [], [], []
+    for i, u in enumerate(whole.split(b"\xff") if parts else []):
+        own = u.split()
+        if own:
+            at.append((cuts[i], cuts[i + 1]))
+            words.append(b" ".join(own))
+            # halves of words where words aren't set apart by spaces
+            letters = len(LETTER.findall(parts[i])) if unspaced else 0
+            sizes.append(max(letters, 2 * len(own) - 2) if letters else 2 * len(own))
+    spans, keys = [], []
+    i = first = total = 0
+    for j, n in enumerate(sizes):
+        total += n
+        while total - sizes[i] >= 2 * MIN_WORDS:
+            total -= sizes[i]
+            i += 1
+        if total >= 2 * MIN_WORDS:
+            for k in range(min(i, first), i + 1):
+                spans.append((at[k][0], at[j][1]))
+                keys.append(b" ".join(words[k : j + 1]))
+            first = i + 1
+    return spans, keys
 
 
 def digests(keys: list[bytes]) -> list[int]:
@@ -46,29 +93,22 @@ def digests(keys: list[bytes]) -> list[int]:
 
 
 def repeated(text: str, elsewhere: set[int]) -> list[tuple[int, int]]:
-    """Spans of runs of repeats, given the digests that smaller documents hold."""
-    cuts, keys = units(text)
-    seen: set[int] = set()
+    """Spans of repeated passages, joined where they touch, given the digests that smaller documents hold."""
+    spans, keys = units(text)
+    ends: dict[int, int] = {}
     out: list[tuple[int, int]] = []
-    start, n_words, solid = -1, 0, False
-    own = digests(keys)
-    for i, (d, key) in enumerate(zip([*own, None], [*keys, b"."], strict=True)):
-        if d is not None and (start >= 0 if d == 0 else d in elsewhere or d in seen):
-            n = key.count(b" ") + 1 if key else 0
-            if start < 0:
-                start, n_words, solid = i, 0, False
-            n_words += n
-            solid |= n >= SOLID
-        else:
-            if start >= 0 and n_words >= MIN_WORDS and solid:
-                out.append((cuts[start], cuts[i]))
-            start = -1
-        seen.add(d)
+    for (a, b), d in zip(spans, digests(keys), strict=True):
+        if d in elsewhere or ends.get(d, len(text)) <= a:
+            if out and a <= out[-1][1]:
+                out[-1] = out[-1][0], b
+            else:
+                out.append((a, b))
+        ends.setdefault(d, b)
     return out
 
 
 def held(docs: DataFrame) -> DataFrame:
-    """(digest, doc_id): each different unit of each document."""
+    """(digest, doc_id): each different passage of each document."""
 
     def run(batches):
         import pyarrow as pa
@@ -91,7 +131,8 @@ def dedup(docs: DataFrame) -> DataFrame:
     columns = [c for c in docs.columns if c != "removed"]
     keyed = docs.select(*columns, F.coalesce(F.col("doc_id").cast("long"), F.lit(NOBODY)).alias("rank_of_doc"))
     source = texts(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NOBODY)))
-    every = held(source)
+    # both uses read one exchange
+    every = held(source).repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "digest")
     firsts = every.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("digest", "first")
     later = (every.join(firsts, "digest").filter("doc_id > first")
              .groupBy(F.col("doc_id").alias("rank_of_doc")).agg(F.collect_set("digest").alias("held_before")))

@@ -322,6 +322,25 @@ def test_repeats(spark):
     assert got[5].text == "own five"
 
 
+def test_repeats_of_any_case_and_script():
+    r = random.Random(3)
+    some = lambda n: [f"w{r.randint(0, 10**6)}" for _ in range(n)]
+    han = lambda n: "".join(chr(r.randint(0x4E00, 0x9FFF)) for _ in range(n))
+    low = " ".join(some(60))
+    for passage in (low.upper(), low.title(), han(80)):
+        line = passage + "\n"
+        held = set(repeats.digests(repeats.units("first one\n" + line + "its end")[1]))
+        text = "another\n" + line + "other end"
+        assert repeats.repeated(text, held) == [(8, 8 + len(line))]
+    for passage, sep, more in ((low, " ", lambda: " ".join(some(20))), (han(200), "", lambda: han(30))):
+        held = set(repeats.digests(repeats.units(more() + sep + passage + sep + more())[1]))
+        text = more() + sep + passage + sep + more()
+        at = text.index(passage)
+        spans = repeats.repeated(text, held)
+        assert spans and sum(b - a for a, b in spans) > len(passage) / 3
+        assert all(at <= a and b <= at + len(passage) + 1 for a, b in spans)
+
+
 def test_repeats_against_brute_force(docs, rows):
     got = {r.doc_id: r.removed for r in repeats.dedup(docs).collect()}
     seen: set[int] = set()
