@@ -341,6 +341,14 @@ def test_repeats_of_any_case_and_script():
         assert all(at <= a and b <= at + len(passage) + 1 for a, b in spans)
 
 
+def test_repeats_need_one_holder():
+    """Short units that stand in different documents aren't a repeated passage."""
+    parts = ["The River And ", "John Went To ", "In Paris He Saw ", "One Unit Of quite five words. ", "Mary Met Him."]
+    held = {d for p in parts for d in repeats.digests(repeats.units(p + "\nand something else that no other document holds in it")[1])}
+    assert repeats.repeated("".join(parts), held) == []
+    assert repeats.repeated("".join(parts), set(repeats.digests(repeats.units("".join(parts))[1]))) == [(0, len("".join(parts)))]
+
+
 def test_repeats_against_brute_force(docs, rows):
     got = {r.doc_id: r.removed for r in repeats.dedup(docs).collect()}
     seen: set[int] = set()
