@@ -8,13 +8,15 @@ sketch if they share k-mers and their order.
 
 Texts of the same words form one node. Nodes that agree in a sketch meet in a bucket. In two
 rounds they are compared with one leader of it, another one each time, so that groups of copies
-become classes at a cost in proportion to the members. Then all pairs of a bucket whose nodes
-aren't of one class yet are compared, so every two nodes of a bucket have been linked, directly
-or through others, or compared. No pair is left out but by bounds that hold for certain: the
-numbers of k-mers, and how many k-mers fall into each of BINS bins, limit what two texts have in
-common. The others are aligned: the longest common subsequence of their labelled k-mers within
-the band that the similarity admits, over the k-mers of both. Classes are the connected
-components of the links.
+become classes at a cost in proportion to the members. Then the nodes of a bucket that aren't of
+one class yet are compared by their numbers of words and of words in each of BINS bins, in groups
+of bounded size; what these bounds admit is aligned. So every two nodes of a bucket have been
+linked, directly or through others, or compared, and no pair is left out but by bounds that hold
+for certain.
+
+Alignment: the edit distance of two texts in words, within the band of diagonals that the
+similarity admits. Similarity is one minus the distance over the longer text's words; texts of
+SIMILARITY or more are linked. Classes are the connected components of the links.
 
 A document is what has one doc_id; rows that share it are linked. Null and empty texts form one
 class, as texts of the same (no) words do. A null doc_id counts as one id and stays null. The
@@ -23,8 +25,6 @@ class is the least doc_id in it. An empty table gives no rows; extra columns are
 
 from __future__ import annotations
 
-from bisect import bisect_left
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +34,8 @@ from .wordbpe import chunked
 
 K, SKETCHES, TAKE = 5, 20, 3
 SIMILARITY = 0.8
-#: Bins of the k-mers' counts; buckets of at most FEW nodes are joined, one of more than BLOCK is compared in pairs of blocks.
-BINS, FEW, BLOCK = 64, 64, 8192
+#: Bins of the words' counts; a bucket of more than BLOCK nodes is compared in pairs of blocks, smaller ones in groups of about GROUP rows.
+BINS, BLOCK, GROUP = 128, 8192, 20_000
 NOBODY = 1 - 2**63
 SPACED = bytes(32 if b < 128 and not chr(b).isalnum() else b for b in range(256))
 
@@ -109,46 +109,83 @@ def sketches(h: np.ndarray, count: np.ndarray, n: int = SKETCHES, take: int = TA
     return out
 
 
-def binned(h: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """How many k-mers of each text fall into each bin, 255 at most."""
-    at = np.repeat(np.arange(len(count)), count) * BINS + (h >> np.uint64(58)).astype(np.int64)
-    return np.minimum(np.bincount(at, minlength=len(count) * BINS), 255).astype(np.uint8).reshape(len(count), BINS)
+def binned(flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """How many words of each text fall into each bin, 255 at most."""
+    at = np.repeat(np.arange(len(lengths)), lengths) * BINS + (mix(flat) % np.uint64(BINS)).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=len(lengths) * BINS), 255).astype(np.uint8).reshape(len(lengths), BINS)
+
+
+def most_edits(n, least: float):
+    """Edits that texts may be apart where the longer has n words."""
+    return np.floor((1 - least) * n + 1e-9).astype(np.int64)
 
 
 def possible(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, least: float) -> np.ndarray:
-    """Whether texts of these bins and numbers of k-mers can be as similar; false only if they surely aren't."""
-    low, high = np.minimum(nx, ny), np.maximum(nx, ny)
-    gap = np.clip(x.astype(np.int16) - y, 0, None).sum(axis=-1), np.clip(y.astype(np.int16) - x, 0, None).sum(axis=-1)
-    common = np.minimum(nx - gap[0], ny - gap[1])  # what one has too many of in a bin isn't common
-    return (low >= least * high - 1e-6) & (common >= least * (nx + ny - common) - 1e-6)
+    """Whether texts of these bins and numbers of words can be as similar; false only if they surely aren't."""
+    gap = x.astype(np.int16) - y
+    apart = np.maximum(np.clip(gap, 0, None).sum(axis=-1), np.clip(-gap, 0, None).sum(axis=-1))  # an edit changes a bin by one
+    return np.maximum(apart, np.abs(nx - ny)) <= most_edits(np.maximum(nx, ny), least)
+
+
+def distance(a: list, b: list, most: int) -> int:
+    """Edit distance of two lists, or most + 1 if it is greater.
+
+    Bits stand for the rows of the band, `most` to each side of the diagonal; a column is worked
+    out at once from the differences of the one before, then the band moves down by a row.
+    """
+    m, n = len(a), len(b)
+    if abs(m - n) > most:
+        return most + 1
+    front = back = 0
+    while front < min(m, n) and a[front] == b[front]:
+        front += 1
+    while back < min(m, n) - front and a[m - 1 - back] == b[n - 1 - back]:
+        back += 1
+    a, b = a[front : m - back], b[front : n - back]
+    m, n = len(a), len(b)
+    if not m or not n:
+        return m + n
+    where: dict = {}
+    for i, w in enumerate(a):
+        where[w] = where.get(w, 0) | 1 << i
+    whole = (1 << 2 * most + 1) - 1
+    up, down = whole ^ (1 << most) - 1, 0  # rows that are one more, one less than the row above
+    now = min(m, most)  # distance at the row that is followed: the band's last, later the last of all
+    for j, w in enumerate(b):
+        same = where.get(w, 0)
+        same = (same >> j - most if j > most else same << most - j) & whole
+        flat = (((same & up) + up) ^ up | same | down) & whole  # no more than the cell before the row above
+        right, left = down | whole & ~(flat | up), flat & up  # cells that are one more, one less than the column before
+        if j + most < m:
+            now += not flat >> 2 * most & 1
+            if now > 2 * most + n - m:
+                return most + 1
+        else:
+            bit = m - 1 - j + most
+            now += (right >> bit & 1) - (left >> bit & 1)
+            if now - (n - 1 - j) > most:
+                return most + 1
+        flat >>= 1
+        up, down = left | whole & ~(flat | right), flat & right
+    return now if now <= most else most + 1
 
 
 def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
-    """Similarity of two texts by their words' hashes: common k-mers in common order over all k-mers; 0 if it is surely below `least`."""
-    (x, (na,)), (y, (nb,)) = mers(a, np.array([len(a)])), mers(b, np.array([len(b)]))
-    if min(na, nb) < least * max(na, nb):
+    """Similarity of two texts by their words' hashes; 0 if it is below `least`."""
+    longer = max(len(a), len(b))
+    if not longer:
+        return 1.0
+    most = int(most_edits(longer, least))
+    words, both = np.unique(np.concatenate([a, b]), return_inverse=True)
+    common = np.minimum(np.bincount(both[: len(a)], minlength=len(words)), np.bincount(both[len(a) :], minlength=len(words))).sum()
+    if longer - common > most:
         return 0.0
-    x, y = labelled(x, np.zeros(len(x), int)), labelled(y, np.zeros(len(y), int))
-    _, at_x, at_y = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    band = int((1 - least) * (int(na) + int(nb)))  # more gaps than this leave too little in common
-    near = np.abs(at_x - at_y) <= band
-    at_x, at_y = at_x[near], at_y[near]
-    if len(at_x) < least * (na + nb - len(at_x)):
-        return 0.0
-    steps = at_x[np.argsort(at_y)]
-    if (np.diff(steps) > 0).all():
-        common = len(steps)
-    else:
-        tails: list[int] = []
-        for s in steps.tolist():
-            i = bisect_left(tails, s)
-            tails[i : i + 1] = [s]
-        common = len(tails)
-    return common / (int(na) + int(nb) - common)
+    d = distance(a.tolist(), b.tolist(), most)
+    return 0.0 if d > most else 1 - d / longer
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, same (a digest of the words), sketch, number of k-mers and their bins for each row."""
+    """doc_id, same (a digest of the words), sketch, number of words and their bins for each row."""
 
     def run(batches):
         import pyarrow as pa
@@ -166,12 +203,13 @@ def sketched(docs: DataFrame) -> DataFrame:
                     flat += own
                     lengths.append(len(own))
                     same.append(xxh3_128_digest(b" ".join(own)))
-                h, count = mers(np.fromiter(map(known.__getitem__, flat), np.uint64, len(flat)), np.array(lengths))
+                flat, lengths = np.fromiter(map(known.__getitem__, flat), np.uint64, len(flat)), np.array(lengths)
+                h, count = mers(flat, lengths)
                 found = sketches(h, count)
                 sizes = np.where(count > 0, SKETCHES, 0)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(found.ravel().view(np.int64)))
-                bins = pa.array([r.tobytes() for r in binned(h, count)], pa.binary())
-                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(same, pa.binary()), lists, pa.array(count, pa.int64()), bins], names=["doc_id", "same", "sketch", "n", "bins"])
+                bins = pa.array([r.tobytes() for r in binned(flat, lengths)], pa.binary())
+                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(same, pa.binary()), lists, pa.array(lengths, pa.int64()), bins], names=["doc_id", "same", "sketch", "n", "bins"])
 
     ids = texts(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NOBODY)))
     return ids.mapInArrow(run, "doc_id long, same binary, sketch array<long>, n long, bins binary")
@@ -197,26 +235,15 @@ def hashed_words(docs: DataFrame) -> DataFrame:
 
 
 def led(members: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b) of a leader and a node of buckets (key, node, class, arbitrary) that hold more than one class.
-
-    In the first turn, leaders of the buckets that aren't arbitrary are the nodes whose buckets are largest; else a hash of the turn decides.
-    """
-    chance = F.xxhash64("key", "node", F.lit(turn))
-    rank = chance
-    if not turn:
-        sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-        members = members.join(sizes, "key")
-        weights = members.groupBy("node").agg(F.sum("size").alias("weight"))
-        members = members.join(weights, "node")
-        rank = F.when(F.col("arbitrary"), chance).otherwise(F.col("weight"))
-    best = F.max(F.struct(rank.alias("rank"), (-F.col("node")).alias("low"), F.col("node").alias("leader"), F.col("class").alias("of")))
+    """Pairs (a, b) of a leader and a node of buckets (key, node, class) that hold more than one class; the turn's hash of nodes picks leaders, so a group's buckets share theirs."""
+    best = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), F.col("node").alias("leader"), F.col("class").alias("of")))
     leaders = members.groupBy("key").agg(best.alias("l"), F.min("class").alias("least"), F.max("class").alias("most")).filter("least < most")
     return (members.select("key", "node", "class").join(leaders.select("key", "l.leader", "l.of"), "key").filter("class != of")
             .select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct())
 
 
 def arrays(batch) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of k-mers and bins of rows."""
+    """Numbers of words and bins of rows."""
     return batch.column("n").to_numpy(), np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)
 
 
@@ -236,46 +263,48 @@ def plausible(pairs: DataFrame, about: DataFrame, least: float) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "m", "x", "n", "y").mapInArrow(run, "a long, b long").distinct()
 
 
+def within(table, least: float):
+    """Pairs (a, b) of rows (key, node, class, own, n, bins) of one key, of different classes and, where `i` and `j` differ, of different blocks, that can be as similar.
+
+    Rows of a key stand in order of their words, so only a stretch of what follows a text is long enough for it.
+    """
+    import pyarrow as pa
+
+    table = table.sort_by([("key", "ascending"), ("n", "ascending")])
+    n, bins = arrays(table)
+    key, node, of, own, apart = (table.column(c).to_numpy() for c in ("key", "node", "class", "own", "apart"))
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    live, step = np.arange(len(n) - 1), 1
+    longest = np.floor(n / least + 1e-6)
+    while len(live):
+        live = live[live + step < len(n)]
+        to = live + step
+        near = (key[live] == key[to]) & (n[to] <= longest[live])
+        live, to = live[near], to[near]  # what follows is of another key, or longer still
+        at = np.flatnonzero((of[live] != of[to]) & ~(apart[live] & (own[live] == own[to])))
+        for c in range(0, len(at), 1 << 16):
+            x, y = live[at[c : c + (1 << 16)]], to[at[c : c + (1 << 16)]]
+            good = possible(bins[x], bins[y], n[x], n[y], least)
+            a.append(np.minimum(node[x[good]], node[y[good]]))
+            b.append(np.maximum(node[x[good]], node[y[good]]))
+        step += 1
+    pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1)
+    return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
+
+
 def others(members: DataFrame, about: DataFrame, least: float) -> DataFrame:
-    """All pairs (a, b) in buckets (key, node, class) of nodes of different classes that can be as similar."""
+    """Pairs (a, b) in buckets (key, node, class) of nodes of different classes that can be as similar."""
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    sizes = checkpointed(members.sparkSession, sizes.select("key", "size", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    # every two blocks of a bucket meet in one group: a block goes to as many groups as there are blocks; small buckets share groups
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    # every two blocks of a bucket meet in one group: a block goes to as many groups as there are blocks
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("own", o).alias("i"), F.greatest("own", o).alias("j")))
-    members = members.join(sizes.select("key", "size", blocks.alias("blocks")), "key").join(about, "node")
-    few = members.filter(F.col("size") <= FEW)
-    one, two = (few.select("key", F.col("node").alias(k), F.col("class").alias(f"of_{k}"), F.col("n").alias(f"n_{k}")) for k in ("a", "b"))
-    near = F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b") - 1e-6
-    joined = plausible(one.join(two, "key").filter((F.col("a") < F.col("b")) & (F.col("of_a") != F.col("of_b")) & near).select("a", "b").distinct(), about, least)
-    members = (members.filter(F.col("size") > FEW).withColumn("own", own)
-               .select("key", "node", "class", "own", "n", "bins", F.explode(meets).alias("m")).select("key", "node", "class", "own", "n", "bins", "m.i", "m.j"))
-
-    def run(group):
-        import pyarrow as pa
-
-        # the group in order of k-mers: only a stretch of what follows a text is long enough for it
-        group = group.sort_by("n")
-        n, bins = arrays(group)
-        node, of, own = (group.column(c).to_numpy() for c in ("node", "class", "own"))
-        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-        a, b = [], []
-        until = np.searchsorted(n, n / least + 1e-6, "right")
-        for r in range(len(n) - 1):
-            at = slice(r + 1, int(until[r]))
-            good = of[at] != of[r]
-            if i != j:
-                good &= own[at] != own[r]
-            good = np.flatnonzero(good)
-            if len(good):
-                good += r + 1
-                good = good[possible(bins[good], bins[r], n[good], n[r], least)]
-                a.append(np.minimum(node[good], node[r]))
-                b.append(np.maximum(node[good], node[r]))
-        a, b = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (a, b))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return members.groupBy("key", "i", "j").applyInArrow(run, "a long, b long").filter("a < b").unionByName(joined).distinct()
+    shared = F.pmod(F.xxhash64("key"), F.lit(max(1, total // GROUP))).cast("long")
+    members = (members.join(sizes, "key").join(about, "node").withColumn("own", own)
+               .select("key", "node", "class", "own", "n", "bins", F.when(F.col("blocks") > 1, F.col("key")).otherwise(shared).alias("part"), (F.col("blocks") > 1).alias("split"), F.explode(meets).alias("m"))
+               .select("key", "node", "class", "own", "n", "bins", (F.col("split") & (F.col("m.i") != F.col("m.j"))).alias("apart"), "part", "split", "m.i", "m.j"))
+    return members.groupBy("part", "split", "i", "j").applyInArrow(lambda t: within(t, least), "a long, b long").filter("a < b").distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
@@ -332,7 +361,7 @@ def classes(docs: DataFrame, least: float = SIMILARITY, rounds: int = 2) -> Data
     # rows of one doc_id with different words link those words' nodes
     links = of.filter("node != other").select(F.col("node").alias("a"), F.col("other").alias("b"))
     source = texts(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NOBODY)))
-    buckets = sketch.select("node", F.posexplode("sketch").alias("i", "key")).select("node", "key", (F.col("i") % 2 == 1).alias("arbitrary"))
+    buckets = sketch.select("node", F.explode("sketch").alias("key"))
     seen = None
 
     def compared(pairs):
@@ -360,8 +389,14 @@ def classes(docs: DataFrame, least: float = SIMILARITY, rounds: int = 2) -> Data
 
 
 def first_of_class(docs: DataFrame, **parameters) -> DataFrame:
-    """docs without all but the first document of each class; one row of each doc_id stays."""
-    found = classes(docs, **parameters)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.coalesce("doc_id", F.lit(NOBODY)).alias("kept_doc"))
-    keyed = docs.withColumn("kept_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(NOBODY)))
-    return keyed.join(kept, "kept_doc", "left_semi").dropDuplicates(["kept_doc"]).select(*docs.columns)
+    """docs without all but the first document of each class; of rows that share a doc_id the one with the longest text stays, of equally long ones the greatest text.
+
+    A row without a doc_id is a document of its own kind: it goes only if another such row has the same text.
+    """
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("said"))
+    named = docs.filter(F.col("doc_id").cast("long").isNotNull())
+    first = classes(named, **parameters).filter("doc_id = class_id").select(F.col("doc_id").alias("id"))
+    longest = F.max_by("row", F.struct(F.length("said"), "said")).alias("row")
+    kept = whole.filter("id is not null").join(first, "id", "left_semi").groupBy("id").agg(longest).select("row.*")
+    unnamed = whole.filter("id is null").groupBy("said").agg(F.any_value("row").alias("row")).select("row.*")
+    return kept.unionByName(unnamed)
