@@ -6,21 +6,22 @@ their number. A sketch takes, for each of several hash functions, the few k-mers
 lowest and joins them in the order in which they stand in the text, so two texts agree in a
 sketch if they share k-mers and their order.
 
-Texts of the same words form one node. Nodes that agree in a sketch meet in a bucket. In two
-rounds they are compared with one leader of it, another one each time, so that groups of copies
-become classes at a cost in proportion to the members. Then the nodes of a bucket that aren't of
-one class yet are compared by their numbers of words and of words in each of BINS bins, in groups
-of bounded size; what these bounds admit is aligned. So every two nodes of a bucket have been
-linked, directly or through others, or compared, and no pair is left out but by bounds that hold
-for certain.
+Texts of the same words form one node. Nodes that agree in a sketch meet in a bucket, where they
+are compared with one leader first, so that groups of copies become classes at a cost in
+proportion to the members. Buckets whose nodes aren't all of one class then are gone through in
+groups of bounded size, where nodes come with their words: numbers of words, and of words in each
+of some bins, are bounds that hold for certain; what they admit is aligned at once unless links
+already join it, and only links leave the group. So every two nodes of a bucket have been linked,
+directly or through others, or compared.
 
 Alignment: the edit distance of two texts in words, within the band of diagonals that the
 similarity admits. Similarity is one minus the distance over the longer text's words; texts of
 SIMILARITY or more are linked. Classes are the connected components of the links.
 
 A document is what has one doc_id; rows that share it are linked. Null and empty texts form one
-class, as texts of the same (no) words do. A null doc_id counts as one id and stays null. The
-class is the least doc_id in it. An empty table gives no rows; extra columns are ignored.
+class, as texts of the same (no) words do. Rows without a doc_id take no part: they give one row
+of nulls together. The class is the least doc_id in it. An empty table gives no rows; extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ from .wordbpe import chunked
 
 K, SKETCHES, TAKE = 5, 20, 3
 SIMILARITY = 0.8
-#: Bins of the words' counts; a bucket of more than BLOCK nodes is compared in pairs of blocks, smaller ones in groups of about GROUP rows.
-BINS, BLOCK, GROUP = 128, 8192, 20_000
+#: Bins of the words' counts, at first and then; a bucket of more than BLOCK nodes or WORDS words is gone through in pairs of blocks, smaller ones in groups of about WORDS words.
+FEW_BINS, BINS, BLOCK, WORDS = 32, 512, 8192, 4_000_000
 NOBODY = 1 - 2**63
 SPACED = bytes(32 if b < 128 and not chr(b).isalnum() else b for b in range(256))
 
@@ -109,10 +110,10 @@ def sketches(h: np.ndarray, count: np.ndarray, n: int = SKETCHES, take: int = TA
     return out
 
 
-def binned(flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """How many words of each text fall into each bin, 255 at most."""
-    at = np.repeat(np.arange(len(lengths)), lengths) * BINS + (mix(flat) % np.uint64(BINS)).astype(np.int64)
-    return np.minimum(np.bincount(at, minlength=len(lengths) * BINS), 255).astype(np.uint8).reshape(len(lengths), BINS)
+def binned(flat: np.ndarray, lengths: np.ndarray, bins: int = BINS) -> np.ndarray:
+    """How many words of each text fall into each bin: a row a bin, a column a text."""
+    at = (mix(flat) % np.uint64(bins)).astype(np.int64) * len(lengths) + np.repeat(np.arange(len(lengths)), lengths)
+    return np.bincount(at, minlength=len(lengths) * bins).astype(np.int32).reshape(bins, len(lengths))
 
 
 def most_edits(n, least: float):
@@ -122,9 +123,8 @@ def most_edits(n, least: float):
 
 def possible(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, least: float) -> np.ndarray:
     """Whether texts of these bins and numbers of words can be as similar; false only if they surely aren't."""
-    gap = x.astype(np.int16) - y
-    apart = np.maximum(np.clip(gap, 0, None).sum(axis=-1), np.clip(-gap, 0, None).sum(axis=-1))  # an edit changes a bin by one
-    return np.maximum(apart, np.abs(nx - ny)) <= most_edits(np.maximum(nx, ny), least)
+    more = (np.abs(x - y).sum(axis=0) + np.abs(nx - ny)) // 2  # an edit takes one word from a bin, or gives one, or both
+    return more <= most_edits(np.maximum(nx, ny), least)
 
 
 def distance(a: list, b: list, most: int) -> int:
@@ -185,11 +185,11 @@ def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, same (a digest of the words), sketch, number of words and their bins for each row."""
+    """doc_id, node (a digest of the words), sketch, and the words' 32-bit hashes for each row."""
 
     def run(batches):
         import pyarrow as pa
-        from xxhash import xxh3_128_digest
+        from xxhash import xxh3_64_intdigest
 
         known = kept("mers", Words)
         for batch in batches:
@@ -197,133 +197,86 @@ def sketched(docs: DataFrame) -> DataFrame:
             for a, b in chunked(some, 2_000_000):
                 if len(known) > 150_000:  # bounds memory only
                     known.clear()
-                flat, lengths, same = [], [], []
+                flat, lengths, node = [], [], []
                 for t in some[a:b]:
                     own = words(t)
                     flat += own
                     lengths.append(len(own))
-                    same.append(xxh3_128_digest(b" ".join(own)))
+                    node.append((xxh3_64_intdigest(b" ".join(own)) ^ 1 << 63) - (1 << 63))
                 flat, lengths = np.fromiter(map(known.__getitem__, flat), np.uint64, len(flat)), np.array(lengths)
                 h, count = mers(flat, lengths)
                 found = sketches(h, count)
                 sizes = np.where(count > 0, SKETCHES, 0)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(found.ravel().view(np.int64)))
-                bins = pa.array([r.tobytes() for r in binned(flat, lengths)], pa.binary())
-                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(same, pa.binary()), lists, pa.array(lengths, pa.int64()), bins], names=["doc_id", "same", "sketch", "n", "bins"])
+                ends = np.concatenate([[0], np.cumsum(lengths * 4)]).astype(np.int32)
+                own = pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(flat.astype(np.uint32))])
+                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), pa.array(node, pa.int64()), lists, own], names=["doc_id", "node", "sketch", "words"])
 
-    ids = texts(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NOBODY)))
-    return ids.mapInArrow(run, "doc_id long, same binary, sketch array<long>, n long, bins binary")
+    return texts(docs).mapInArrow(run, "doc_id long, node long, sketch array<long>, words binary")
 
 
-def hashed_words(docs: DataFrame) -> DataFrame:
-    """doc_id and the 32-bit hashes of its words."""
+def verified(pairs: DataFrame, of: DataFrame, least: float) -> DataFrame:
+    """Pairs of nodes whose words (node, words) are similar enough."""
 
     def run(batches):
         import pyarrow as pa
 
-        known = kept("mers", Words)
         for batch in batches:
-            out = []
-            for t in batch.column(1).to_pylist():
-                if len(known) > 150_000:
-                    known.clear()
-                own = words(t)
-                out.append(np.fromiter(map(known.__getitem__, own), np.uint32, len(own)).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["doc_id", "words"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, words binary")
-
-
-def led(members: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b) of a leader and a node of buckets (key, node, class) that hold more than one class; the turn's hash of nodes picks leaders, so a group's buckets share theirs."""
-    best = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), F.col("node").alias("leader"), F.col("class").alias("of")))
-    leaders = members.groupBy("key").agg(best.alias("l"), F.min("class").alias("least"), F.max("class").alias("most")).filter("least < most")
-    return (members.select("key", "node", "class").join(leaders.select("key", "l.leader", "l.of"), "key").filter("class != of")
-            .select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct())
-
-
-def arrays(batch) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of words and bins of rows."""
-    return batch.column("n").to_numpy(), np.frombuffer(b"".join(batch.column("bins").to_pylist()), np.uint8).reshape(-1, BINS)
-
-
-def plausible(pairs: DataFrame, about: DataFrame, least: float) -> DataFrame:
-    """Pairs that can be as similar by their nodes' (node, n, bins)."""
-    one, two = about.select(F.col("node").alias("a"), F.col("n").alias("m"), F.col("bins").alias("x")), about.select(F.col("node").alias("b"), "n", F.col("bins").alias("y"))
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("x", "y"))
-            good = possible(x, y, batch.column("m").to_numpy(), batch.column("n").to_numpy(), least)
+            x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
+            good = [aligned(np.frombuffer(p, np.uint32), np.frombuffer(q, np.uint32), least) > 0 for p, q in zip(x, y, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    # a node has several rows if texts share their least doc_id
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "m", "x", "n", "y").mapInArrow(run, "a long, b long").distinct()
+    both = pairs.join(of.select(F.col("node").alias("b"), F.col("words").alias("y")), "b")
+    both = both.join(of.select(F.col("node").alias("a"), F.col("words").alias("x")), "a")
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def within(table, least: float):
-    """Pairs (a, b) of rows (key, node, class, own, n, bins) of one key, of different classes and, where `i` and `j` differ, of different blocks, that can be as similar.
-
-    Rows of a key stand in order of their words, so only a stretch of what follows a text is long enough for it.
-    """
+    """Links (a, b) that join what is similar enough among rows (key, node, class, own, apart, words) of one key, of different classes and, where `apart`, of different blocks."""
     import pyarrow as pa
 
-    table = table.sort_by([("key", "ascending"), ("n", "ascending")])
-    n, bins = arrays(table)
-    key, node, of, own, apart = (table.column(c).to_numpy() for c in ("key", "node", "class", "own", "apart"))
-    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    live, step = np.arange(len(n) - 1), 1
-    longest = np.floor(n / least + 1e-6)
-    while len(live):
-        live = live[live + step < len(n)]
-        to = live + step
-        near = (key[live] == key[to]) & (n[to] <= longest[live])
-        live, to = live[near], to[near]  # what follows is of another key, or longer still
-        at = np.flatnonzero((of[live] != of[to]) & ~(apart[live] & (own[live] == own[to])))
-        for c in range(0, len(at), 1 << 16):
-            x, y = live[at[c : c + (1 << 16)]], to[at[c : c + (1 << 16)]]
-            good = possible(bins[x], bins[y], n[x], n[y], least)
-            a.append(np.minimum(node[x[good]], node[y[good]]))
-            b.append(np.maximum(node[x[good]], node[y[good]]))
-        step += 1
-    pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1)
-    return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
-
-
-def others(members: DataFrame, about: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) in buckets (key, node, class) of nodes of different classes that can be as similar."""
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
-    sizes = checkpointed(members.sparkSession, sizes.select("key", "size", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    total = sizes.agg(F.sum("size")).first()[0] or 0
+    said = [np.frombuffer(x, np.uint32) for x in table.column("words").to_pylist()]
+    n = np.array([len(x) for x in said])
+    order = np.lexsort([n, table.column("key").to_numpy()])
+    key, node, of, own, apart = (table.column(c).to_numpy()[order] for c in ("key", "node", "class", "own", "apart"))
+    said, n = [said[i] for i in order], n[order]
+    flat = np.concatenate(said).astype(np.uint64)
+    few, bins = binned(flat, n, FEW_BINS), binned(flat, n)
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    a, b = [], []
+    for first, end in zip(starts.tolist(), np.append(starts[1:], len(key)).tolist(), strict=True):
+        label = np.unique(of[first:end], return_inverse=True)[1]
+        shortest = first + np.searchsorted(n[first:end], least * n[first:end] - 1e-6)
+        for r in range(first + 1, end):
+            # rows that come before, so no longer, and long enough
+            other = label[shortest[r - first] - first : r - first] != label[r - first]
+            if apart[r]:
+                other &= own[shortest[r - first] : r] != own[r]
+            at = shortest[r - first] + np.flatnonzero(other)
+            for counts in (few, bins):
+                at = at[possible(counts[:, at], counts[:, r : r + 1], n[at], n[r], least)]
+            for c in at.tolist():
+                if label[c - first] != label[r - first] and aligned(said[c], said[r], least):
+                    a.append(min(node[c], node[r]))
+                    b.append(max(node[c], node[r]))
+                    label[label == label[c - first]] = label[r - first]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def others(members: DataFrame, of: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) in buckets (key, node, n, class) that hold nodes of different classes."""
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("n_words"), F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("n_words") / WORDS)).cast("int").alias("blocks")
+    sizes = checkpointed(members.sparkSession, sizes.select("key", "n_words", blocks))
+    total = sizes.agg(F.sum("n_words")).first()[0] or 0
     # every two blocks of a bucket meet in one group: a block goes to as many groups as there are blocks; small buckets share groups
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("own", o).alias("i"), F.greatest("own", o).alias("j")))
-    shared = F.pmod(F.xxhash64("key"), F.lit(max(1, total // GROUP))).cast("long")
-    members = (members.join(sizes, "key").join(about, "node").withColumn("own", own)
-               .select("key", "node", "class", "own", "n", "bins", F.when(F.col("blocks") > 1, F.col("key")).otherwise(shared).alias("part"), (F.col("blocks") > 1).alias("split"), F.explode(meets).alias("m"))
-               .select("key", "node", "class", "own", "n", "bins", (F.col("split") & (F.col("m.i") != F.col("m.j"))).alias("apart"), "part", "split", "m.i", "m.j"))
-    return members.groupBy("part", "split", "i", "j").applyInArrow(lambda t: within(t, least), "a long, b long").filter("a < b").distinct()
-
-
-def verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
-    """Pairs whose texts are similar enough; b's words are brought to a's once for each pair."""
-    spark = docs.sparkSession
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    of = checkpointed(spark, hashed_words(docs.join(wanted, "doc_id", "left_semi")).dropDuplicates(["doc_id"]))
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
-            good = [aligned(np.frombuffer(p, np.uint32), np.frombuffer(q, np.uint32), least) >= least for p, q in zip(x, y, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    both = pairs.join(of.select(F.col("doc_id").alias("b"), F.col("words").alias("y")), "b")
-    both = both.join(of.select(F.col("doc_id").alias("a"), F.col("words").alias("x")), "a")
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    shared = F.pmod(F.xxhash64("key"), F.lit(max(1, total // WORDS))).cast("long")
+    members = (members.join(sizes, "key").withColumn("own", own)
+               .select("key", "node", "class", "own", F.when(F.col("blocks") > 1, F.col("key")).otherwise(shared).alias("part"), (F.col("blocks") > 1).alias("split"), F.explode(meets).alias("m"))
+               .select("key", "node", "class", "own", (F.col("split") & (F.col("m.i") != F.col("m.j"))).alias("apart"), "part", "split", "m.i", "m.j"))
+    return members.join(of, "node").groupBy("part", "split", "i", "j").applyInArrow(lambda t: within(t, least), "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -343,49 +296,34 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def nearby(links: DataFrame) -> DataFrame:
-    """(node, class): the least node among a node and its neighbours, a first step towards components."""
-    ends = F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("a").alias("near")), F.struct(F.col("b").alias("node"), F.col("a").alias("near"))))
-    return links.select(ends.alias("e")).select("e.*").groupBy("node").agg(F.min("near").alias("class"))
-
-
-def classes(docs: DataFrame, least: float = SIMILARITY, rounds: int = 2) -> DataFrame:
+def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """One row a document: doc_id and class_id, the least doc_id of those it is alike to, directly or through others."""
     spark = docs.sparkSession
-    found = checkpointed(spark, sketched(docs))
-    any_of = F.any_value(F.struct("sketch", "n", "bins")).alias("s")
-    nodes = checkpointed(spark, found.groupBy("same").agg(F.min("doc_id").alias("node"), any_of).select("same", "node", "s.*"))
-    of = checkpointed(spark, found.select("doc_id", "same").join(nodes.select("same", "node"), "same").groupBy("doc_id").agg(F.min("node").alias("node"), F.max("node").alias("other")))
-    sketch = nodes.filter(F.size("sketch") > 0)  # a node may have several: texts that share their least doc_id
-    about = sketch.select("node", "n", "bins")
+    unnamed = docs.filter(F.col("doc_id").cast("long").isNull()).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("class_id")).limit(1)
+    found = checkpointed(spark, sketched(docs.filter(F.col("doc_id").cast("long").isNotNull())))
+    said = (F.octet_length("words") / 4).cast("int")
+    nodes = checkpointed(spark, found.groupBy("node").agg(F.any_value("sketch").alias("sketch"), F.min("doc_id").alias("doc_id"), F.max(said).alias("n")))
     # rows of one doc_id with different words link those words' nodes
-    links = of.filter("node != other").select(F.col("node").alias("a"), F.col("other").alias("b"))
-    source = texts(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NOBODY)))
-    buckets = sketch.select("node", F.explode("sketch").alias("key"))
-    seen = None
-
-    def compared(pairs):
-        nonlocal links, seen
-        if seen is not None:
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        pairs = checkpointed(spark, pairs)
-        links = links.unionByName(checkpointed(spark, verified(pairs, source, least)))
-        seen = pairs if seen is None else seen.unionByName(pairs)
-
-    def known(by):
-        members = buckets.join(by.withColumnRenamed("class", "root"), "node", "left")
-        return members.withColumn("class", F.coalesce("root", "node")).drop("root")
-
-    for turn in range(rounds):
-        members = known(nearby(links)) if turn else buckets.withColumn("class", F.col("node"))
-        compared(plausible(led(members, turn), about, least))
-        if not turn:  # from here on only buckets of several nodes matter
-            shared = buckets.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("key")
-            buckets = checkpointed(spark, buckets.join(shared, "key", "left_semi"))
-    compared(others(known(components(links)).select("key", "node", "class").distinct(), about, least))
-    out = of.select("doc_id", "node").join(components(links), "node", "left").withColumn("class_id", F.coalesce("class", "node"))
-    null = lambda c: F.when(F.col(c) != NOBODY, F.col(c)).alias(c)
-    return out.select(null("doc_id"), null("class_id"))
+    texts_of = found.groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
+    links = found.select("doc_id", "node").join(texts_of, "doc_id").filter("node > low").select(F.col("low").alias("a"), F.col("node").alias("b"))
+
+    buckets = nodes.select("node", "n", F.explode("sketch").alias("key"))
+    # one hash of nodes picks leaders, so that a group's buckets share theirs
+    leader = F.min(F.struct(F.xxhash64("node").alias("rank"), F.col("node").alias("leader"))).alias("l")
+    leaders = buckets.groupBy("key").agg(leader, F.count(F.lit(1)).alias("size")).filter("size > 1").select("key", "l.leader")
+    members = checkpointed(spark, buckets.join(leaders, "key"))
+    wanted = nodes.select("doc_id", "node").join(members.select("node").distinct(), "node", "left_semi")
+    of = checkpointed(spark, found.select("doc_id", "node", "words").join(wanted, ["doc_id", "node"], "left_semi").select("node", "words").dropDuplicates(["node"]))
+    pairs = members.filter("node != leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    links = checkpointed(spark, links.unionByName(verified(pairs, of, least)))
+
+    known = members.join(components(links).withColumnRenamed("class", "root"), "node", "left")
+    known = known.select("key", "node", "n", F.coalesce("root", "node").alias("class"))
+    links = links.unionByName(checkpointed(spark, others(known, of, least)))
+
+    label = nodes.select("node", "doc_id").join(components(links), "node", "left").select("node", "doc_id", F.coalesce("class", "node").alias("class"))
+    label = label.join(label.groupBy("class").agg(F.min("doc_id").alias("class_id")), "class").select("node", "class_id")
+    return found.select("doc_id", "node").join(label, "node").groupBy("doc_id").agg(F.min("class_id").alias("class_id")).unionByName(unnamed)
 
 
 def first_of_class(docs: DataFrame, **parameters) -> DataFrame:

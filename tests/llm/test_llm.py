@@ -518,18 +518,22 @@ def test_bounds_lose_no_pair():
             assert ordermin.possible(x, y, np.array([len(a)]), np.array([len(b)]), 0.8).all()
 
 
-def test_pairs_within_buckets():
-    """Bucket members of different classes meet once, whichever blocks they are in."""
+def test_links_within_buckets():
+    """Links join all that is alike in a bucket, within a block or across blocks, without naming all pairs."""
     import pyarrow as pa
 
     n = 300
-    bins = [ordermin.binned(np.arange(50, dtype=np.uint64), np.array([50]))[0].tobytes()] * n
-    t = pa.table({"key": [i % 2 for i in range(n)], "node": list(range(n)), "class": [i // 4 for i in range(n)], "own": [i % 3 for i in range(n)], "apart": [False] * n, "n": [50] * n, "bins": bins})
-    pairs = lambda t: {(x["a"], x["b"]) for x in ordermin.within(t, 0.8).to_pylist()}
-    want = {(a, b) for a in range(n) for b in range(a + 1, n) if a % 2 == b % 2 and a // 4 != b // 4}
-    assert pairs(t) == want
+    words = [np.array([100 * (i % 5) + j for j in range(50)] + [9000 + i], np.uint32).tobytes() for i in range(n)]
+    t = pa.table({"key": [i % 2 for i in range(n)], "node": list(range(n)), "class": list(range(n)), "own": [i % 3 for i in range(n)], "apart": [False] * n, "words": words})
     crossed = t.set_column(t.column_names.index("apart"), "apart", pa.array([True] * n))
-    assert pairs(crossed) == {(a, b) for a, b in want if a % 3 != b % 3}
+    for table in (t, crossed):
+        links = [(x["a"], x["b"]) for x in ordermin.within(table, 0.8).to_pylist()]
+        of = {i: i for i in range(n)}
+        for a, b in links:
+            assert a % 10 == b % 10 and (table is t or a % 3 != b % 3)
+            x, y = sorted((root(of, a), root(of, b)))
+            of[y] = x
+        assert {i: root(of, i) for i in of} == {i: i % 10 for i in range(n)} and len(links) == n - 10
 
 
 def test_near_duplicates_odd(odd_docs, no_docs):
