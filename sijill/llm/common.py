@@ -36,6 +36,13 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """name, or a longer one that no column of df has."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
+
+
 def remainder(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
@@ -62,9 +69,11 @@ def checkpointed(spark: SparkSession, df: DataFrame) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder; where none is named, as in tests, one under /tmp is set."""
+    """The cluster's shared folder; where none is named, one under /tmp is set if the session has no other machines, as in tests."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file:///tmp/sijill-shared"
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(root)

@@ -322,21 +322,31 @@ def test_repeats(spark):
     assert got[5].text == "own five"
 
 
+KNOWN = repeats.Characters()
+
+
+def digests(*some):
+    return [d for t in some for d in repeats.Passages([t], KNOWN).digest.tolist()]
+
+
+def repeated(text, held):
+    return repeats.Passages([text], KNOWN).repeated([held])[0]
+
+
 def test_repeats_of_any_case_and_script():
     r = random.Random(3)
     some = lambda n: [f"w{r.randint(0, 10**6)}" for _ in range(n)]
     han = lambda n: "".join(chr(r.randint(0x4E00, 0x9FFF)) for _ in range(n))
     low = " ".join(some(60))
-    for passage in (low.upper(), low.title(), han(80)):
+    for passage in (low, low.upper(), low.title(), han(80), " ".join(some(11))):
         line = passage + "\n"
-        held = set(repeats.digests(repeats.units("first one\n" + line + "its end")[1]))
-        text = "another\n" + line + "other end"
-        assert repeats.repeated(text, held) == [(8, 8 + len(line))]
-    for passage, sep, more in ((low, " ", lambda: " ".join(some(20))), (han(200), "", lambda: han(30))):
-        held = set(repeats.digests(repeats.units(more() + sep + passage + sep + more())[1]))
+        assert repeated("another\n" + line + "other end", digests("first one\n" + line + "its end")) == [(8, 8 + len(line))]
+    german = " ".join(w.title() if i % 4 == 0 else w for i, w in enumerate(some(54)))
+    for passage, sep, more in ((low, " ", lambda: " ".join(some(20))), (han(200), "", lambda: han(30)), (german, " ", lambda: " ".join(some(20)))):
+        held = digests(more() + sep + passage + sep + more())
         text = more() + sep + passage + sep + more()
         at = text.index(passage)
-        spans = repeats.repeated(text, held)
+        spans = repeated(text, held)
         assert spans and sum(b - a for a, b in spans) > len(passage) / 3
         assert all(at <= a and b <= at + len(passage) + 1 for a, b in spans)
 
@@ -344,17 +354,60 @@ def test_repeats_of_any_case_and_script():
 def test_repeats_need_one_holder():
     """Short units that stand in different documents aren't a repeated passage."""
     parts = ["The River And ", "John Went To ", "In Paris He Saw ", "One Unit Of quite five words. ", "Mary Met Him."]
-    held = {d for p in parts for d in repeats.digests(repeats.units(p + "\nand something else that no other document holds in it")[1])}
-    assert repeats.repeated("".join(parts), held) == []
-    assert repeats.repeated("".join(parts), set(repeats.digests(repeats.units("".join(parts))[1]))) == [(0, len("".join(parts)))]
+    assert repeated("".join(parts), digests(*(p + "\nand something else that no other document holds in it" for p in parts))) == []
+    assert repeated("".join(parts), digests("".join(parts))) == [(0, len("".join(parts)))]
+
+
+def test_short_lines_by_parameter(spark):
+    df = spark.createDataFrame([(1, "one line of six words here\nfirst", "a"), (2, "second\none line of six words here\nend", "b")], "doc_id long, text string, rank_of_doc string").withColumn("held_before", F.lit(1))
+    assert {r.text for r in repeats.dedup(df).collect()} == {r.text for r in df.collect()}
+    got = {r.doc_id: r for r in repeats.dedup(df, least=6).collect()}
+    assert got[2].text == "second\nend" and got[2].removed == "7:34" and got[2].rank_of_doc == "b" and got[2].held_before == 1
+
+
+def restated_passages(t, least=10):
+    """(a, b, words) of each passage, in plain loops; the choice of units by hash is the operator's own."""
+    tokens = [(m.start(), m.end()) for m in re.finditer(r"[^\W_]+|[^\x00-\x7f\s.!?…]+", t)]
+    tokens, joined_up = [], tokens
+    for a, b in joined_up:  # letters of any script that touch are one word
+        if tokens and tokens[-1][1] == a:
+            tokens[-1] = tokens[-1][0], b
+        else:
+            tokens.append((a, b))
+    begins, before = [], 0
+    for n, (a, b) in enumerate(tokens):
+        gap, space = t[before:a], max(t.rfind(c, before, a) for c in " \t\n")
+        own = KNOWN.stretches(KNOWN.value[np.array([ord(c) for c in t[a:b]])], np.array([0]), np.array([b - a]))
+        if not n or "\n" in gap or any(c in gap for c in ".!?…") and space >= 0 or t[a].isupper() and space >= 0 or repeats.picks(own)[0]:
+            begins.append((0 if not n else space + 1 if space >= before else a, n))
+        before = b
+    ends = [at for at, _ in begins[1:]] + [len(t)]
+    firsts = [n for _, n in begins] + [len(tokens)]
+    found = set()
+    for i in range(len(begins)):
+        reach = [j for j in range(i, len(begins)) if firsts[j + 1] - firsts[i] >= least]
+        found |= {(i, reach[0])} if reach else set()
+        back = [k for k in range(i + 1) if firsts[i + 1] - firsts[k] >= least]
+        found |= {(back[-1], i)} if back else set()
+    return [(begins[i][0], ends[j], tuple(t[a:b].lower() for a, b in tokens[firsts[i] : firsts[j + 1]])) for i, j in sorted(found)]
 
 
 def test_repeats_against_brute_force(docs, rows):
     got = {r.doc_id: r.removed for r in repeats.dedup(docs).collect()}
-    seen: set[int] = set()
+    seen, compared = set(), 0
     for i, t in rows:
-        assert got[i] == ",".join(f"{a}:{b}" for a, b in (repeats.repeated(t, seen) if t else []))
-        seen |= set(repeats.digests(repeats.units(t)[1])) - {0} if t else set()
+        own, first, spans = restated_passages(t), {}, []
+        for a, b, words in own:
+            if words in seen or first.get(words, len(t) + 1) <= a:
+                if spans and a <= spans[-1][1]:
+                    spans[-1] = spans[-1][0], max(b, spans[-1][1])
+                else:
+                    spans.append((a, b))
+            first.setdefault(words, b)
+        assert got[i] == ",".join(f"{a}:{b}" for a, b in spans), i
+        compared += bool(spans)
+        seen |= {w for *_, w in own}
+    assert compared > 10
 
 
 def test_repeats_odd(odd_docs, no_docs):
