@@ -182,7 +182,7 @@ def dedup(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     path = f"{shared_folder(spark, 'repeats')}/held"
     held(source, least).write.parquet(path)  # both uses read it; a frequent digest is added up on the map side first
     every = spark.read.parquet(path)
-    firsts = every.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("digest", "first")
+    firsts = every.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "first")
     later = every.join(firsts, "digest").filter("doc_id > first").groupBy(F.col("doc_id").alias(rank)).agg(F.collect_list("digest").alias(before))
     joined = keyed.join(later, rank, "left").select(*columns, before)
     schema = joined.drop(before).schema.add("removed", "string")
