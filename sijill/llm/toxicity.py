@@ -1,16 +1,19 @@
 """Toxicity by noisy-channel deobfuscation.
 
-A token that looks disguised (letters mixed with look-alike signs, letters stretched, letters
-set apart) is a lattice of what each character may stand for: itself, a look-alike letter, or
-nothing. Viterbi decoding under a character trigram model of the corpus picks the likeliest
-restored word. Words, as written and as restored, are scored by their own and their prefixes'
-prefixes' weights in a logistic regression over the features with the greatest log-odds.
-
-The language model counts the words of all documents, labelled or not, by their occurrences. Only
-the classifier is fitted on a sample: at most TRAIN_ROWS labelled documents outside the held-out fold,
-the first by a hash of doc_id. Documents
-labelled twice count as toxic if any label says so; null labels are ignored. Null and empty
-texts get the regression's value without features. Repeated rows each give a row.
+A token that looks disguised (letters and look-alike signs or digits in any place, letters
+stretched, letters set apart) is a lattice of what each character may stand for: itself, a
+look-alike letter, or nothing. Viterbi decoding under a character trigram model of the corpus
+picks the likeliest restored word. Words, as written and as restored, are scored by the weights
+that a logistic regression gives them and their prefixes.
+
+The language model counts the words of all documents, labelled or not, by their occurrences; words
+with ideographs or syllable signs don't count, and such letters stand for themselves. Only the
+classifier is fitted on a sample: at most TRAIN_ROWS labelled documents outside the held-out fold,
+the first by a hash of doc_id. Its features are those of at least LEAST_TOXIC different toxic
+texts of the sample with enough evidence for them, at most MOST_FEATURES, all under a penalty.
+Rows that share a doc_id count once, with their greatest text. Documents labelled twice count as
+toxic if any label is above 0; null labels are ignored. Null and empty texts get the regression's
+value without features. Repeated rows each give a row.
 """
 
 from __future__ import annotations
@@ -27,22 +30,23 @@ from pyspark.sql import functions as F
 from .common import checkpointed, kept, remainder, texts
 
 TRAIN_ROWS, FOLDS = 20_000, 5
-LEAST_TOXIC, LEAST_WEIGHT, LEAST_EVIDENCE, MOST_FEATURES, PENALTY = 4, 2.0, 10.0, 400, 0.03
-#: Of the toxic documents this share, and LEAST_TOXIC at least, must hold a feature: rarer ones mark copies of one document rather than toxicity.
-LEAST_SHARE = 0.015
+LEAST_TOXIC, LEAST_WEIGHT, LEAST_EVIDENCE, MOST_FEATURES, PENALTY = 4, 2.0, 10.0, 1000, 0.03
 PREFIXES = (4, 5, 6)
 
 # Letters that signs and digits look like.
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
               "@": "a", "$": "s", "!": "i", "+": "t", "|": "il", "(": "c", "€": "e", "£": "l"}
 SEPARATORS = " .-_*~'"
-LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
+IDEOGRAPHS = "\u2e80"  # from here on letters are ideographs or syllable signs, too many for a table of trigrams
 
 LOOK = "".join(map(re.escape, LOOKALIKES))
-DISGUISED = re.compile(rf"[^\W\d_][{LOOK}*._~-]+[^\W\d_]|^[{LOOK}][^\W\d_]|(\w)\1\1")
-SPACED = re.compile(r"(?<!\S)(?:\w[ .\-_*]){3,}\w(?!\S)")
+DISGUISED = re.compile(rf"[^\W\d_].*[{LOOK}*._~-]|[{LOOK}].*[^\W\d_]|(\w)\1\1", re.DOTALL)
+SPACED = re.compile(r"(?<!\S)(?:\w[ .\-_*]){2,}\w(?!\S)")
 EDGE = ".,;:?!\"'()[]{}<>#%&*~|/\\-_=`^"
+OUTER = "".join(c for c in EDGE if c not in LOOKALIKES)  # signs at the edges that stand for no letter
 RUNS = re.compile(r"[^\W\d_]+")
+#: Longer tokens are no words; only their runs of letters count.
+LONGEST = 100
 SUBSTITUTION, SKIP, REPEAT, DROP = math.log(0.3), math.log(0.5), math.log(0.4), math.log(0.01)
 
 
@@ -52,24 +56,25 @@ class Model:
     bigrams: dict[str, int] = field(default_factory=dict)
     weights: dict[str, float] = field(default_factory=dict)
     offset: float = -2.0
+    letters: int = 60
 
     def letter(self, before: str, c: str) -> float:
         """log probability of a letter, or of the end ($), after two others."""
-        return math.log((self.trigrams.get(before + c, 0) + 0.1) / (self.bigrams.get(before, 0) + 0.1 * (len(LETTERS) + 1)))
+        return math.log((self.trigrams.get(before + c, 0) + 0.1) / (self.bigrams.get(before, 0) + 0.1 * (self.letters + 1)))
 
     def restore(self, token: str) -> str:
         """The likeliest word behind a disguised token."""
         states = {"^^": (0.0, "")}
         for i, c in enumerate(token):
             arcs = []
-            if c in LETTERS:
+            if c.isalpha():
                 arcs.append((c, 0.0))
                 if i and token[i - 1] == c:
                     arcs.append(("", REPEAT))
             arcs += [(x, SUBSTITUTION) for x in LOOKALIKES.get(c, "")]
             if c in SEPARATORS:
                 arcs.append(("", SKIP))
-            if not arcs:
+            if not c.isalpha():
                 arcs.append(("", DROP))
             after: dict[str, tuple[float, str]] = {}
             for before, (score, word) in states.items():
@@ -83,10 +88,11 @@ class Model:
 
     def forms(self, token: str) -> list[str]:
         """What a token may say: its runs of letters, and the restored word."""
-        core = token.strip(EDGE)
+        core, outer = token.strip(EDGE), token.strip(OUTER)
         out = [core] if core.isalpha() else RUNS.findall(core)
-        if core and (" " in core or DISGUISED.search(core)):
-            out.append(self.restore(core))
+        for t in {core, outer}:
+            if len(t) <= LONGEST and (" " in t or DISGUISED.search(t)):
+                out.append(self.restore(t))
         return out
 
     def weighed(self, token: str) -> tuple[str, ...]:
@@ -124,7 +130,7 @@ def letter_counts(some: list[str], toxic: list[int]) -> Counter:
     """Trigrams of the texts' words, by occurrences, so that sums don't depend on batches."""
     found: Counter = Counter()
     for word, n in Counter(w for t in some for w in RUNS.findall(t.lower())).items():
-        if all(c in LETTERS for c in word):
+        if max(word) < IDEOGRAPHS:
             w = f"^^{word}$"
             for i in range(len(word) + 1):
                 found[w[i : i + 3]] += n
@@ -134,12 +140,12 @@ def letter_counts(some: list[str], toxic: list[int]) -> Counter:
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Letters and weights; what reaches the driver is bounded by the alphabet and the parameters."""
     spark, model = docs.sparkSession, Model()
-    chosen = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+    chosen = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic").cast("int") > 0).cast("int").alias("toxic"))
               .filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id"), FOLDS) != 0))
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
               .withColumn("place", F.xxhash64("doc_id")).orderBy("place", "doc_id").limit(TRAIN_ROWS))
     # the broadcast side holds TRAIN_ROWS rows of two numbers at most
-    train = checkpointed(spark, texts(docs).join(F.broadcast(chosen.drop("place")), "doc_id").select("doc_id", "text", "toxic"))
+    train = checkpointed(spark, texts(docs).join(F.broadcast(chosen.drop("place")), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.any_value("toxic").alias("toxic")))
     sizes = {r.toxic: r.n for r in train.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
@@ -149,6 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     model.trigrams = {r.key: r.n for r in counted(every, letter_counts).collect()}
     for key, n in model.trigrams.items():
         model.bigrams[key[:2]] = model.bigrams.get(key[:2], 0) + n
+    model.letters = len({c for key in model.trigrams for c in key} - {"^", "$"})
 
     def of_documents(wanted):
         def count(some, toxic):
@@ -159,8 +166,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
             return found
         return count
 
-    seen = counted(train.filter("toxic = 1"), of_documents(None)).filter(F.col("n") >= max(LEAST_TOXIC, LEAST_SHARE * n_toxic))
-    seen = {r.key: r.n for r in seen.orderBy(F.desc("n"), "key").limit(20 * MOST_FEATURES).collect()}
+    different = train.filter("toxic = 1").select("text", "toxic").distinct()  # copies of one text are no evidence
+    seen = counted(different, of_documents(None)).filter(F.col("n") >= LEAST_TOXIC)
+    seen = {r.key: r.n for r in seen.collect()}  # of TRAIN_ROWS texts at most
     clean = {r.key: r.n for r in counted(train.filter("toxic = 0"), of_documents(set(seen))).collect()}
     weights = {f: math.log((n + 0.5) / (n_toxic + 1)) - math.log((clean.get(f, 0) + 0.5) / (n_clean + 1)) for f, n in seen.items()}
     best = sorted((f for f, w in weights.items() if w >= LEAST_WEIGHT and w * seen[f] >= LEAST_EVIDENCE), key=lambda f: (-weights[f] * math.sqrt(seen[f]), f))

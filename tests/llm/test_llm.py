@@ -437,6 +437,48 @@ def test_restored():
     assert sums.of("an 1d10t here") == 5.0 and sums.of("so i d i o t it is") == 5.0 and sums.of("nothing, IDIOT!") == 5.0 and sums.of("") == 0.0
 
 
+def test_restored_against_all_restorations():
+    """Viterbi's word scores as well as the best of all ways to read a token."""
+    m = toxicity.Model()
+    m.trigrams = dict(toxicity.letter_counts(["sails also aisle slot toil lots idle ideal said"] * 2, [0] * 2))
+    for key, n in m.trigrams.items():
+        m.bigrams[key[:2]] = m.bigrams.get(key[:2], 0) + n
+
+    def readings(token):
+        best = {}
+
+        def go(i, before, word, score):
+            if i == len(token):
+                best[word] = max(best.get(word, -math.inf), score + m.letter(before, "$"))
+                return
+            c = token[i]
+            arcs = [(c, 0.0)] if c.isalpha() else [("", toxicity.DROP)]
+            arcs += [("", toxicity.REPEAT)] if c.isalpha() and i and token[i - 1] == c else []
+            arcs += [(x, toxicity.SUBSTITUTION) for x in toxicity.LOOKALIKES.get(c, "")]
+            arcs += [("", toxicity.SKIP)] if c in toxicity.SEPARATORS else []
+            for x, cost in arcs:
+                go(i + 1, (before + x)[-2:], word + x, score + cost + (m.letter(before, x) if x else 0.0))
+
+        go(0, "^^", "", 0.0)
+        return best
+
+    r = random.Random(4)
+    for _ in range(300):
+        token = "".join(r.choice("sail1$0o.3 d|!t") for _ in range(r.randint(1, 8)))
+        found = readings(token)
+        assert found[m.restore(token)] == pytest.approx(max(found.values()))
+
+
+def test_disguises_are_decoded():
+    m = toxicity.Model()
+    m.trigrams = dict(toxicity.letter_counts(["ass puss moron kill shit clown idiot дурак and the with"] * 5, [0] * 5))
+    for key, n in m.trigrams.items():
+        m.bigrams[key[:2]] = m.bigrams.get(key[:2], 0) + n
+    for token, word in {"a55": "ass", "a$$": "ass", "pus5": "puss", "kil1": "kill", "sh1+": "shit", "(lown": "clown", "|diot": "idiot", "(a$$)": "ass", "дуррррак": "дурак", "a s s": "ass"}.items():
+        assert word in m.forms(token), token
+    assert m.forms("2024") == [] and m.forms("hello") == ["hello"] and "a s s" in toxicity.tokens("you a s s there")
+
+
 def test_letters_of_the_whole_corpus(spark):
     """Unlabelled documents count, and how rows fall into batches and partitions doesn't."""
     docs = spark.createDataFrame([(1, "bad words"), (2, "good words"), *((i, "unlabelled zyzzyva") for i in range(3, 40))], "doc_id long, text string")
@@ -447,7 +489,7 @@ def test_letters_of_the_whole_corpus(spark):
 
 
 def test_toxicity_odd(spark, odd_docs, no_docs):
-    labels = spark.createDataFrame([(1, 1), (2, None), (5, 0), (5, 1), (99, 1), (None, 1)], "doc_id long, toxic int")
+    labels = spark.createDataFrame([(1, 1), (2, None), (5, 0), (5, 2), (99, 1), (None, 1)], "doc_id long, toxic int")
     found = both(odd_docs, no_docs, lambda d: toxicity.score(d, labels))
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in found)
     assert toxicity.score(odd_docs, labels.filter("false")).count() == 9
