@@ -29,7 +29,7 @@ from .wordbpe import chunked
 MIN_WORDS = 10
 #: One token of so many begins a unit.
 EVERY = 8
-CHUNK = 1_000_000  # characters treated together
+CHUNK = 250_000  # characters treated together
 # Code points of scripts without spaces, first and last; marks that end sentences, and other signs that aren't part of words.
 UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0x20000, 0x3FFFF)]
 MARKS = ".!?…؟۔।॥。！？、，；"

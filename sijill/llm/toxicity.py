@@ -217,7 +217,7 @@ class Sums:
         found = tokens(text)
         new = found - self.known
         if new:
-            if len(self.known) > 200_000:
+            if len(self.known) > 100_000:
                 self.known.clear()
                 self.heavy.clear()
                 new = found
