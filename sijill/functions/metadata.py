@@ -45,16 +45,13 @@ def gazette_number(c: Column) -> Column:
 
 def dates(c: Column) -> Column:
     """Distinct dates, as year-month-day, in the order of their first mention; day before month unless only the other way is possible."""
-    number = lambda g: F.transform(F.regexp_extract_all(c, F.lit(v.DATE), F.lit(g)), lambda x: text.western_digits(x).cast("int"))
-    found = F.arrays_zip(number(1).alias("a"), number(2).alias("b"), number(3).alias("y"))
-
     def iso(x):
-        a, b, y = x["a"], x["b"], x["y"]
+        a, b, y = (text.western_digits(F.regexp_extract(x, v.DATE, g)).cast("int") for g in (1, 2, 3))
         month, day = F.when((b > 12) & (a <= 12), a).otherwise(b), F.when((b > 12) & (a <= 12), b).otherwise(a)
         good = y.between(1900, 2099) & month.between(1, 12) & day.between(1, 31)
         return F.when(good, F.format_string("%04d-%02d-%02d", y, month, day))
 
-    return F.array_distinct(F.array_compact(F.transform(found, iso)))
+    return F.array_distinct(F.array_compact(F.transform(F.regexp_extract_all(c, F.lit(v.DATE), F.lit(0)), iso)))
 
 
 def publication_date(d: Column) -> Column:
@@ -95,6 +92,11 @@ def listing_slug(doc_type_en: Column, year: Column, number: Column, legislation_
     return F.when(whole, ids.doc_slug(doc_type_en, year, number)).otherwise(F.concat(F.lit("legislation-"), legislation_id.cast("string")))
 
 
+def listing_type_word(type_id: Column) -> Column:
+    """The listing's word for the number of a type; empty for other numbers."""
+    return F.coalesce(text.lookup(v.LISTING_TYPE_IDS, type_id.cast("int")), F.lit(""))
+
+
 def legal_basis(c: Column) -> Column:
     """The clauses in which a text names its basis."""
     return F.transform(F.regexp_extract_all(c, F.lit(v.LEGAL_BASIS), F.lit(0)), text.strip)
@@ -102,7 +104,7 @@ def legal_basis(c: Column) -> Column:
 
 # pages
 
-def without_tags(html: Column, tags=("script", "style", "nav", "header", "footer", "noscript", "iframe", "button")) -> Column:
+def without_tags(html: Column, tags=tuple(v.PAGE_FURNITURE)) -> Column:
     """A page without elements of some kinds; elements of one kind within another end at the first end tag."""
     for tag in tags:
         html = F.regexp_replace(html, rf"(?is)<{tag}\b.*?</{tag}\s*>", "")
@@ -115,14 +117,36 @@ def inner(html: Column, tag: str) -> Column:
     return text.strip(F.regexp_replace(text.strip_html(raw), r"(?U)\s+", " "))
 
 
-def html_title(html: Column, tags=("h1", "h2")) -> Column:
-    """First element of the wanted kinds that there is, else the first line in Arabic."""
-    page = without_tags(html)
+def container(html: Column, attribute: str) -> Column:
+    """What is inside the first div with an attribute (a pattern), up to its own end tag, other divs within it included; empty if there is none."""
+    rest = F.regexp_extract(html, rf"(?is)<div\b[^>]*\s{attribute}[^>]*>(.*)\z", 1)
+    pieces = F.split(rest, r"(?i)(?=<div\b|</div\s*>)")
+
+    def step(s, piece):
+        depth = s["depth"] + F.when(piece.rlike(r"(?i)^<div\b"), 1).when(piece.rlike(r"(?i)^</div"), -1).otherwise(0)
+        inside = s["inside"] & (depth >= 0)
+        return F.struct(depth.alias("depth"), inside.alias("inside"), (s["n"] + inside.cast("int")).alias("n"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(True).alias("inside"), F.lit(0).alias("n"))
+    return F.array_join(F.slice(pieces, F.lit(1), F.aggregate(pieces, start, step, lambda s: s["n"])), "")
+
+
+def of_class(name: str) -> str:
+    """Pattern of an attribute that names a class among others."""
+    return rf"""class\s*=\s*["'](?:[^"']*\s)?{name}(?:\s[^"']*)?["']"""
+
+
+def html_title(html: Column, header: str = v.TITLE_CONTAINER, classed=tuple(v.TITLE_CLASSES), tags=("h1", "h2")) -> Column:
+    """The first heading in the header's container, an h3 before h2 and h1, else one of some class, else the first h1 or h2 that there is, else the first line in Arabic."""
+    page = without_tags(html, v.PAGE_FURNITURE)
+    top = container(page, of_class(header))
+    special = [F.regexp_extract(page, rf"(?is)<{t}\b[^>]*\s{of_class(c)}[^>]*>(.*?)</{t}\s*>", 1) for t, c in classed]
+    special = [nonempty(text.strip(F.regexp_replace(text.strip_html(x), r"(?U)\s+", " "))) for x in special]
     arabic = F.get(F.filter(F.transform(text.lines(text.strip_html(page)), text.strip), lambda x: (x != "") & text.contains_arabic(x)), F.lit(0))
-    return F.coalesce(*[inner(page, t) for t in tags], F.substring(arabic, 1, 200), F.lit(""))
+    return F.coalesce(*[nonempty(inner(top, t)) for t in ("h3", "h2", "h1")], *special, *[inner(page, t) for t in tags], F.substring(arabic, 1, 200), F.lit(""))
 
 
-def html_body(html: Column, containers=("article", "main")) -> Column:
+def html_body(html: Column, containers=tuple(v.BODY_CONTAINERS)) -> Column:
     """Text of the first container in Arabic of over 100 characters, else of the whole body; blocks begin lines."""
 
     def lined(c):
@@ -130,10 +154,10 @@ def html_body(html: Column, containers=("article", "main")) -> Column:
         c = text.replace_all(F.regexp_replace(c, "<[^>]+>", "\n"), v.ENTITIES)
         return text.strip(F.regexp_replace(c, "\n{3,}", "\n\n"))
 
-    page = without_tags(html)
+    page = without_tags(html, v.PAGE_FURNITURE)
     found = []
-    for tag in containers:
-        body = lined(F.regexp_extract(page, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1))
+    for name in containers:
+        body = lined(container(page, name if "=" in name else of_class(name)))
         found.append(F.when(text.contains_arabic(body) & (F.length(body) > 100), body))
     whole = F.regexp_extract(page, r"(?is)<body\b[^>]*>(.*)</body\s*>", 1)
     return F.coalesce(*found, lined(F.coalesce(nonempty(whole), page)))
@@ -142,9 +166,8 @@ def html_body(html: Column, containers=("article", "main")) -> Column:
 def attachments(html: Column, site: Column) -> Column:
     """Links to files and to what is called an annex: url and label."""
     link = r'(?is)<a\b[^>]*?href="([^"]*)"[^>]*>(.*?)</a\s*>'
-    href = F.transform(F.regexp_extract_all(html, F.lit(link), F.lit(1)), text.strip)
-    label = F.transform(F.regexp_extract_all(html, F.lit(link), F.lit(2)), lambda x: text.strip(F.regexp_replace(x, "<[^>]+>", "")))
-    pairs = F.arrays_zip(href.alias("h"), label.alias("l"))
+    pairs = F.transform(F.regexp_extract_all(html, F.lit(link), F.lit(0)), lambda x: F.struct(
+        text.strip(F.regexp_extract(x, link, 1)).alias("h"), text.strip(F.regexp_replace(F.regexp_extract(x, link, 2), "<[^>]+>", "")).alias("l")))
     wanted = F.filter(pairs, lambda x: F.lower(x["h"]).endswith(".pdf") | x["l"].rlike("|".join(v.ATTACHMENT_WORDS)))
 
     def absolute(x):

@@ -126,29 +126,17 @@ def sanity_warnings(c: Column) -> Column:
         F.when(~F.contains(c, F.lit("المادة")), F.lit("WARN: no article"))))
 
 
-def let(c: Column, f) -> Column:
-    """f of c, with c worked out once however often f uses it."""
-    return F.element_at(F.transform(F.array(c), f), 1)
-
-
-def stages(c: Column, rules) -> Column:
-    """The text after none, one, two and all further rules."""
-
-    def after(done, left):
-        return F.array(*done) if not left else let(rule(left[0])(done[-1]), lambda x: after([*done, x], left[1:]))
-
-    return let(c, lambda x: after([x], list(rules)))
-
-
 def clean(df, text: str = "text"):
     """df with original_text, normalized_text, warnings and cleaning_log: each rule with the characters before and after it."""
     rules = (*DISPLAY_RULES, *SEARCH_RULES)
-    df = df.withColumn("_stages", stages(F.col(text), rules))
-    at = lambda i: F.element_at("_stages", i + 1)
+    at = lambda i: F.col(f"_stage{i}")
+    df = df.withColumn("_stage0", F.col(text))
+    for i, n in enumerate(rules):  # a projection each, so that a text is worked out once
+        df = df.withColumn(f"_stage{i + 1}", rule(n)(at(i)))
     entries = F.array(*[F.struct(F.lit(n).alias("rule"), F.length(at(i)).alias("chars_before"), F.length(at(i + 1)).alias("chars_after"),
                                  (F.length(at(i)) - F.length(at(i + 1))).alias("changes"), F.lit("").alias("note")) for i, n in enumerate(rules)])
     original = at(len(DISPLAY_RULES))
-    return df.withColumns({"original_text": original, "normalized_text": at(len(rules)), "cleaning_log": entries, "warnings": sanity_warnings(original)}).drop("_stages")
+    return df.withColumns({"original_text": original, "normalized_text": at(len(rules)), "cleaning_log": entries, "warnings": sanity_warnings(original)}).drop(*[f"_stage{i}" for i in range(len(rules) + 1)])
 
 
 def log_line(log: Column, warnings: Column) -> Column:

@@ -32,6 +32,21 @@ LISTING_TYPE_IDS = {
     1: "دستور", 2: "قانون", 3: "نظام داخلي", 4: "تعليمات", 5: "قرار", 6: "منشور", 7: "أمر ملكي", 8: "إرادة ملكية",
     9: "مرسوم ملكي", 10: "اتفاقية", 11: "معاهدة",
 }
+# How pages name the parts of a document, in the order of search; kinds of elements that aren't a document's.
+TITLE_CONTAINER = "clicked-legislation-header"
+TITLE_CLASSES = [("h3", "animated")]
+BODY_CONTAINERS = ["clicked-legislation-content", "main-content", "dir=['\"]rtl['\"]"]
+PAGE_FURNITURE = ["script", "style", "nav", "header", "footer", "noscript", "iframe", "button"]
+
+# What listings' links, titles and table rows tell; the type where a link names none.
+LISTING_ID = r"LegislationID=(\d+)"
+LISTING_TYPE = r"LegislationType=(\d+)"
+TITLE_NUMBER = r"(?U)رقم\s*\(?(\d+)\)?"
+TITLE_YEAR = r"(?U)لسنة\s*(\d{4})"
+ROW_YEAR = r"(?U)\b(19[89]\d|20[012]\d)\b"
+DEFAULT_TYPE_ID = 2
+
+# Statuses by the listing's word.
 STATUSES = {
     "نافذ": "active", "نافذة": "active", "ساري": "active", "سارية": "active", "ملغى": "repealed", "ملغي": "repealed",
     "ملغية": "repealed", "غير ساري": "repealed", "غير سارية": "repealed", "منتهي": "repealed", "منتهية": "repealed",

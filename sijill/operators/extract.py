@@ -10,8 +10,9 @@ from ..functions import values as v
 
 
 def matches(c: Column, pattern: str, **groups: int) -> Column:
-    """All matches of a pattern, with the wanted groups."""
-    return F.arrays_zip(*[F.regexp_extract_all(c, F.lit(pattern), F.lit(g)).alias(name) for name, g in groups.items()])
+    """All matches of a pattern, with the wanted groups; the text is gone through once, groups come from the short matches, so the pattern must not look beyond a match."""
+    found = F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
+    return F.transform(found, lambda m: F.struct(*[(F.regexp_extract(m, pattern, g) if g else m).alias(name) for name, g in groups.items()]))
 
 
 def references(c: Column) -> Column:
@@ -63,14 +64,23 @@ def trimmed_name(c: Column) -> Column:
     return F.when(good, name)
 
 
-def entities(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame:
-    """Institutions: key, entity_name_ar, entity_type, place (kinds in their order, then the text's), role; the first of each name in a document."""
+def named_institutions(c: Column) -> Column:
+    """Institutions of a text as entity_type and entity_name_ar, kinds in their order, then the text's; repeats stay."""
     def named(kind: str, first: str) -> Column:
-        caught = F.regexp_extract_all(F.col(body), F.lit(rf"(?U)\b{first}\s+{v.ENTITY_WORD}(?:\s+{v.ENTITY_WORD}){{0,2}}"), F.lit(0))
+        caught = F.regexp_extract_all(c, F.lit(rf"(?U)\b{first}\s+{v.ENTITY_WORD}(?:\s+{v.ENTITY_WORD}){{0,2}}"), F.lit(0))
         return F.transform(caught, lambda m: F.struct(F.lit(kind).alias("entity_type"), trimmed_name(m).alias("entity_name_ar")))
 
-    per_kind = [named(kind, first) for kind, first in v.ENTITY_KINDS]
-    found = docs.select(key, F.posexplode(F.concat(*per_kind)).alias("place", "e")).select(key, "place", "e.*").filter("entity_name_ar is not null")
+    return F.filter(F.concat(*[named(kind, first) for kind, first in v.ENTITY_KINDS]), lambda e: e["entity_name_ar"].isNotNull())
+
+
+def issuing_name(title: Column, body: Column) -> Column:
+    """The institution that a document's title and the opening of its text name first; kinds are looked for in their order."""
+    return F.get(named_institutions(F.concat_ws("\n", title, F.substring(body, 1, metadata.ENTITY_OPENING))), F.lit(0))["entity_name_ar"]
+
+
+def entities(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame:
+    """Institutions: key, entity_name_ar, entity_type, place (kinds in their order, then the text's), role; the first of each name in a document."""
+    found = docs.select(key, F.posexplode(named_institutions(F.col(body))).alias("place", "e")).select(key, "place", "e.*")
     by_name = Window.partitionBy(key, "entity_name_ar").orderBy("place")
     found = found.withColumn("n", F.row_number().over(by_name)).filter("n = 1").drop("n")
     role = F.when(F.row_number().over(Window.partitionBy(key).orderBy("place")) == 1, "issuer").otherwise("mentioned")
@@ -92,6 +102,15 @@ def merged(found: DataFrame, table: dict[str, str] | None = None) -> DataFrame:
     return renamed.groupBy(*keys, "entity_name_ar").agg(F.min_by(F.struct("entity_type", "place", "role"), "place").alias("f")).select(*keys, "entity_name_ar", "f.*")
 
 
+def deduplicated(found: DataFrame, table: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """A merge of institutions' names over roles (doc_slug, entity_name_ar, entity_type, place, role): roles with identifiers made anew, each once a document; the issuer of each document; numbers of names before and after."""
+    roles = merged(found, table).withColumn("doc_id", ids.doc_id(F.col("doc_slug"))).withColumn("entity_slug", ids.entity_slug(F.col("entity_name_ar"), F.col("entity_type")))
+    roles = roles.withColumn("entity_id", ids.entity_id(F.col("entity_slug"))).withColumn("role_id", ids.role_id(F.col("doc_id"), F.col("entity_id"), F.col("role")))
+    issuers = roles.filter("role = 'issuer'").select("doc_slug", F.col("entity_id").alias("issuing_entity_id"), F.col("entity_name_ar").alias("issuing_entity_name_ar"))
+    names = found.agg(F.count_distinct("entity_name_ar").alias("names_before")).crossJoin(roles.agg(F.count_distinct("entity_name_ar").alias("names_after")))  # one row each
+    return {"roles": roles, "issuers": issuers, "counts": names.withColumn("net_reduction", F.col("names_before") - F.col("names_after"))}
+
+
 def relationships(docs: DataFrame, slug: str = "doc_slug", body: str = "text") -> DataFrame:
     """Links between documents: rel_id, source and target slugs and ids, rel_type, extracted_text, confidence; the first of each target and kind."""
     c = F.col(body)

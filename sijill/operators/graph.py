@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.storage import checkpointed
+
 
 def active_in_topic(docs: DataFrame, assigned: DataFrame, topic: str) -> DataFrame:
     """Active documents of a topic, by year."""
@@ -30,23 +32,18 @@ def repeal_chains(edges: DataFrame, rel_type: str = "REPEALS") -> DataFrame:
 
     Paths are doubled: of `exact` all have 2^k hops, of `ended` all have fewer and lead to a terminal, so n hops take log n rounds.
     """
-    spark = edges.sparkSession
-
-    def kept(df):
-        return df.checkpoint() if spark.sparkContext.getCheckpointDir() else df.localCheckpoint()
-
     def extended(paths, more):
         more = more.select(F.col("start").alias("end"), F.col("end").alias("to"), F.col("path").alias("rest"))
         rest = F.expr("slice(rest, 2, size(rest))")
         return paths.join(more, "end").filter(~F.arrays_overlap("path", rest)).select("start", F.col("to").alias("end"), F.concat("path", rest).alias("path"))
 
-    own = kept(edges.filter((F.col("rel_type") == rel_type) & F.col("source").isNotNull() & F.col("target").isNotNull()).select("source", "target").distinct())
+    own = checkpointed(edges.filter((F.col("rel_type") == rel_type) & F.col("source").isNotNull() & F.col("target").isNotNull()).select("source", "target").distinct())
     last = own.select(F.col("target").alias("start")).distinct().join(own.select(F.col("source").alias("start")), "start", "left_anti")
     ended = last.select("start", F.col("start").alias("end"), F.array("start").alias("path"))
     exact = own.filter("source != target").select(F.col("source").alias("start"), F.col("target").alias("end"), F.array("source", "target").alias("path"))
     while not exact.isEmpty():
-        ended = kept(ended.unionByName(extended(exact, ended)))
-        exact = kept(extended(exact, exact))
+        ended = checkpointed(ended.unionByName(extended(exact, ended)))
+        exact = checkpointed(extended(exact, exact))
     found = ended.select("start", F.col("end").alias("terminal"), (F.size("path") - 1).alias("hops")).filter("hops > 0")
     looped = own.filter("source = target").select(F.col("source").alias("start"))
     return found.unionByName(found.join(looped, "start", "left_semi").withColumn("hops", F.col("hops") + 1))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import metadata, text
+from ..functions import values as v
 
 
 def latest(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
@@ -65,6 +66,72 @@ def batch_report(runs: DataFrame, **shares: str) -> DataFrame:
                     F.count_if(~F.col("success") & ~F.col("skipped")).alias("failed"), *[F.round(share(flag), 1).alias(name) for name, flag in shares.items()])
 
 
+def quality_report(runs: DataFrame) -> DataFrame:
+    """The figures of a batch in one row: its summary, shares of the successful runs, sections on average, and the slugs that failed.
+
+    runs has doc_slug, success, skipped, legal_basis_text, publication_date, topics, entities, relationships, sections, validation_passed.
+    """
+    c = F.col
+    filled = lambda n: F.coalesce(c(n) != "", F.lit(False))
+    flags = runs.withColumns({"has_legal_basis_pct": filled("legal_basis_text"), "has_publication_date_pct": filled("publication_date"), "has_topic_assignments_pct": c("topics") > 0,
+                              "has_entities_pct": c("entities") > 0, "has_relationships_pct": c("relationships") > 0, "validation_passed_pct": c("validation_passed")})
+    names = ["has_legal_basis_pct", "has_publication_date_pct", "has_topic_assignments_pct", "has_entities_pct", "has_relationships_pct", "validation_passed_pct"]
+    good, failed = c("success") & ~c("skipped"), ~c("success") & ~c("skipped")
+    out = batch_report(flags, **{n: n for n in names})
+    more = runs.agg(F.coalesce(F.round(F.avg(F.when(good, c("sections"))), 1), F.lit(0.0)).alias("avg_sections"), F.array_sort(F.collect_list(F.when(failed, c("doc_slug")))).alias("failed_slugs"))
+    rate = F.coalesce(F.round(F.try_divide(F.lit(100.0) * c("success"), c("processed")), 1), F.lit(0.0))
+    return out.withColumn("success_rate_pct", rate).crossJoin(more)  # one row each
+
+
+def profile(docs: DataFrame, sections: DataFrame, assigned: DataFrame, relations: DataFrame) -> DataFrame:
+    """A data set's distributions and figures: part, value, n, and figure where it isn't a number of rows."""
+    parts = [df.groupBy(F.col(name).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(part).alias("part"), "value", "n", F.lit(None).cast("double").alias("figure"))
+             for df, name, part in ((docs, "status", "status"), (docs, "doc_type", "type"), (relations, "rel_type", "relation"), (sections, "section_type", "section"))]
+    figure = lambda df, part, **values: df.agg(F.array(*[F.struct(F.lit(k).alias("value"), e.cast("double").alias("figure")) for k, e in values.items()]).alias("f")).select(F.explode("f").alias("f")).select(
+        F.lit(part).alias("part"), "f.value", F.lit(None).cast("long").alias("n"), "f.figure")
+    parts.append(figure(assigned, "confidence", least=F.min("confidence"), most=F.max("confidence"), mean=F.round(F.avg("confidence"), 6), documents=F.count_distinct("doc_slug")))
+    parts.append(figure(sections.groupBy("doc_slug").agg(F.count(F.lit(1)).alias("k")), "sections", mean=F.round(F.avg("k"), 6), documents=F.count(F.lit(1))))
+    return union_all(parts)
+
+
+def from_links(links: DataFrame, site: str) -> DataFrame:
+    """Listing entries of links (href, title) to documents: the id and type in the address, year and number in the title; links without an id give none."""
+    c, kind = F.col, F.col("legislation_type_id")
+    found = links.select(F.regexp_extract("href", v.LISTING_ID, 1).alias("legislation_id"), F.coalesce(F.nullif(F.regexp_extract("href", v.LISTING_TYPE, 1), F.lit("")).try_cast("int"), F.lit(v.DEFAULT_TYPE_ID)).alias("legislation_type_id"),
+                         F.coalesce("title", F.lit("")).alias("title_ar")).filter("legislation_id != ''")
+    found = found.withColumns({"doc_type_ar": metadata.listing_type_word(kind), "doc_number": F.nullif(F.regexp_extract("title_ar", v.TITLE_NUMBER, 1), F.lit("")), "issue_year": F.nullif(F.regexp_extract("title_ar", v.TITLE_YEAR, 1), F.lit("")).try_cast("int")})
+    found = found.withColumns({"doc_type_en": metadata.listing_type(c("doc_type_ar")), "source_status_text": F.lit(""), "status_normalized": F.lit("active"),
+                               "detail_url": F.concat(F.lit(site), F.lit("?LegislationID="), c("legislation_id"), F.lit("&LegislationType="), kind.cast("string"))})
+    return found.withColumn("doc_slug", entry_slug())
+
+
+def entry_slug():
+    return metadata.listing_slug(F.col("doc_type_en"), F.coalesce("issue_year", F.lit(0)), F.coalesce("doc_number", F.lit("")), F.col("legislation_id"))
+
+
+def enriched(entries: DataFrame, said: str) -> DataFrame:
+    """Listing entries whose missing year, status, type and number come from a free text beside them (a column); the slug is made anew. Words are looked for in their tables' order, anywhere in the text."""
+    c, t = F.col, F.coalesce(F.col(said), F.lit(""))
+
+    def first(table: dict, value: bool):
+        out = F.when(F.lit(False), F.lit(""))
+        for word, name in table.items():
+            out = out.when(t.contains(word), F.lit(name if value else word))
+        return out
+
+    no_status, no_type = c("source_status_text") == "", c("doc_type_ar") == ""
+    year = F.nullif(F.regexp_extract(t, v.ROW_YEAR, 1), F.lit("")).try_cast("int")
+    out = entries.withColumns({
+        "issue_year": F.coalesce(F.when(c("issue_year") != 0, c("issue_year")), year), "doc_number": F.coalesce(F.when(c("doc_number") != "", c("doc_number")), F.nullif(F.regexp_extract(t, v.TITLE_NUMBER, 1), F.lit(""))),
+        "status_normalized": F.coalesce(F.when(no_status, first(v.STATUSES, True)), c("status_normalized")), "source_status_text": F.coalesce(F.when(no_status, first(v.STATUSES, False)), c("source_status_text")),
+        "doc_type_en": F.coalesce(F.when(no_type, first(v.LISTING_TYPES, True)), c("doc_type_en")), "doc_type_ar": F.coalesce(F.when(no_type, first(v.LISTING_TYPES, False)), c("doc_type_ar"))})
+    return out.withColumn("doc_slug", entry_slug())
+
+
+def active_only(entries: DataFrame) -> DataFrame:
+    return entries.filter("status_normalized = 'active'")
+
+
 def listing(raw: DataFrame) -> DataFrame:
     """Entries of a listing in one form: alternative field names, type and status words, slugs; each id once."""
     has = lambda *names: F.coalesce(*[F.nullif(F.col(n).cast("string"), F.lit("")) for n in names if n in raw.columns], F.lit(None).cast("string"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,26 +25,33 @@ def keyword_literal(taxonomy: list[dict], most: int = MOST_KEYWORDS) -> list[dic
 def scores(docs: DataFrame, taxonomy: list[dict], key: str = "doc_id", title: str = "title_ar", body: str = "normalized_text", least: int = THRESHOLD) -> DataFrame:
     """key, topic_slug, topic_name_ar, topic_ord, confidence, matched_keywords: topics of at least 40 points.
 
-    The taxonomy stands in the plan as literals, so documents are neither shuffled nor multiplied by
-    keywords: each row finds its keywords in one pass and only topics that reach the threshold become rows.
+    The taxonomy stands in the plan as literals, folded keywords included, so documents are neither
+    shuffled nor multiplied by keywords: a topic's points are one generated sum, and only topics that
+    reach the threshold become rows, which then get their matches.
     """
     entries = keyword_literal(taxonomy)
+    if not entries:
+        return docs.select(key, F.lit(0).alias("topic_ord"), F.lit("").alias("topic_slug"), F.lit("").alias("topic_name_ar"), F.lit(0.0).alias("confidence"), F.array(F.lit("")).alias("matched_keywords")).filter("false")
+    plain = folded(docs.sparkSession, sorted({k for t in entries for k in t["keywords_ar"]}))
     df = docs.select(key, text.normalize(F.coalesce(F.col(title), F.lit(""))).alias("_t"), text.normalize(F.substring(F.col(body), 1, OPENING)).alias("_o"), text.normalize(F.col(body)).alias("_b"))
-    words = F.array(*[F.array(*[F.lit(k) for k in t["keywords_ar"]]) for t in entries])
-    plain = F.transform(words, lambda ws: F.transform(ws, lambda k: text.normalize(k)))  # folded: literals only
+    words = F.array(*[F.array(*[F.struct(F.lit(k).alias("w"), F.lit(plain[k]).alias("p")) for k in t["keywords_ar"]]) for t in entries])
     facts = F.array(*[F.struct(F.lit(i).alias("topic_ord"), F.lit(t["id"]).alias("topic_slug"), F.lit(t.get("name_ar") or "").alias("topic_name_ar")) for i, t in enumerate(entries)])
 
-    def points(k: Column) -> Column:
+    def points(word: str) -> Column:
+        k = F.lit(plain[word])
         return F.when(F.contains("_t", k), IN_TITLE).when(F.contains("_o", k), IN_OPENING).when(F.contains("_b", k), IN_BODY).otherwise(0)
 
-    topic = F.arrays_zip(words.alias("words"), plain.alias("plain"), facts.alias("fact"))
+    scored = F.array(*[F.struct(F.lit(i).alias("at"), reduce(Column.__add__, [points(k) for k in t["keywords_ar"]]).alias("points")) for i, t in enumerate(entries)])
+    found = df.select(key, "_b", F.explode(F.filter(scored, lambda s: s["points"] >= least)).alias("s")).select(key, "_b", "s.*")
+    matched = F.transform(F.filter(F.get(words, "at"), lambda x: F.contains("_b", x["p"])), lambda x: x["w"])
+    found = found.select(key, F.get(facts, "at").alias("fact"), (F.least(F.lit(100), "points") / 100).alias("confidence"), matched.alias("matched_keywords"))
+    return found.select(key, "fact.*", "confidence", "matched_keywords")
 
-    def scored(t: Column) -> Column:
-        hits = F.filter(F.arrays_zip(t["words"].alias("w"), t["plain"].alias("p")), lambda x: F.contains("_b", x["p"]))
-        return F.struct(t["fact"].alias("fact"), F.aggregate(t["plain"], F.lit(0), lambda a, k: a + points(k)).alias("points"), F.transform(hits, lambda x: x["w"]).alias("matched_keywords"))
 
-    found = df.select(key, F.explode(F.filter(F.transform(topic, scored), lambda s: s["points"] >= least)).alias("s"))
-    return found.select(key, "s.fact.*", (F.least(F.lit(100), F.col("s.points")) / 100).alias("confidence"), "s.matched_keywords")
+def folded(spark, words: list[str]) -> dict[str, str]:
+    """Keywords as they stand in normalised texts; the driver works them out from a local table."""
+    rows = spark.createDataFrame([(w,) for w in words], "w string").select("w", text.normalize(F.col("w")).alias("p")).collect()
+    return {r.w: r.p for r in rows}
 
 
 def ranked(found: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -80,6 +89,19 @@ def distribution(docs: DataFrame, found: DataFrame, key: str = "doc_id") -> Data
             .groupBy(F.coalesce("topic_slug", F.lit("(none)")).alias("topic")).agg(F.count(F.lit(1)).alias("n")))
 
 
+def retopic(docs: DataFrame, clean: DataFrame, taxonomy: list[dict]) -> dict[str, DataFrame]:
+    """Topics of stored documents (doc_slug, title_ar) anew from their clean texts (doc_slug, normalized_text): assignments, coverage in one row, distribution by primary topic.
+
+    Documents without a clean text are left out; the coverage of no documents is 0.
+    """
+    both = docs.select("doc_slug", "title_ar").join(clean.select("doc_slug", "normalized_text"), "doc_slug")
+    found = ranked(scores(both, taxonomy, "doc_slug"), "doc_slug")
+    covered = both.select("doc_slug").join(found.select("doc_slug").distinct().withColumn("hit", F.lit(1)), "doc_slug", "left")
+    coverage = covered.agg(F.count(F.lit(1)).alias("total"), F.count("hit").alias("covered"))
+    coverage = coverage.withColumn("coverage_pct", F.coalesce(F.round(F.try_divide(F.lit(100.0) * F.col("covered"), F.col("total")), 1), F.lit(0.0)))
+    return {"assignments": assignments(found), "coverage": coverage, "distribution": distribution(both, found, "doc_slug")}
+
+
 def nearest_label(vectors: DataFrame, labels: DataFrame, most: int = 10_000) -> DataFrame:
     """vec_id, label, similarity: the label vector (label, embedding) of greatest cosine; ties to the smaller label.
 
@@ -102,9 +124,9 @@ def nearest_label(vectors: DataFrame, labels: DataFrame, most: int = 10_000) ->
 def parsed_decision(response: Column) -> Column:
     """topic_id, confidence, reasoning of a model's answer; null if it holds no such object or names no topic."""
     body = F.regexp_extract(F.regexp_replace(response, "```(?:json)?", ""), r"(?s)\{.*\}", 0)
-    parsed = F.from_json(body, "topic_id string, confidence double, reasoning string")
+    parsed = F.from_json(body, "topic_id string, confidence string, reasoning string")
     named = F.regexp_replace(parsed["topic_id"], "^topic-", "")
-    return F.when(named != "", F.struct(named.alias("topic_id"), F.coalesce(parsed["confidence"], F.lit(0.0)).alias("confidence"), parsed["reasoning"].alias("reasoning")))
+    return F.when(named != "", F.struct(named.alias("topic_id"), F.coalesce(parsed["confidence"].try_cast("double"), F.lit(0.0)).alias("confidence"), parsed["reasoning"].alias("reasoning")))
 
 
 def enhanced(found: DataFrame, decisions: DataFrame, key: str = "doc_id", below: float = 0.8, least: float = 0.9, topics=tuple(v.DECISION_TOPICS)) -> DataFrame:

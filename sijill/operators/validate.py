@@ -24,6 +24,11 @@ def rows(df: DataFrame, checks: list[tuple[Column | str, Column, str]], record:
     return df.select("doc_slug", record.alias("record_id"), F.explode(made).alias("c")).select("doc_slug", "record_id", "c.*")
 
 
+def present(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """A failure for each wanted doc_slug without a document; the other checks see documents only."""
+    return rows(wanted.select("doc_slug").distinct().join(docs.select("doc_slug"), "doc_slug", "left_anti"), [("has_document", F.lit(False), "error")])
+
+
 def documents(docs: DataFrame) -> DataFrame:
     c = F.col
     checks = [(f"required_field_{f}", filled(c(f)), "error") for f in REQUIRED]

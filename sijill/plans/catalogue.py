@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import ids, metadata, text
@@ -279,7 +280,7 @@ def x_cross_refs(spark, sf_dir):
     return statutes(spark, sf_dir).select("doc_slug", F.posexplode(extract.references(F.col("text"))).alias("pos", "r")).select("doc_slug", "pos", "r.*")
 
 
-@query(f"""WITH statutes AS ({STATUTES}) SELECT doc_slug, CASE WHEN doc_id % 3 = 0 THEN 'بمقتضى المادة (31) من الدستور' ELSE regexp_extract(text, 'استناداً إلى[^\\n]*') END AS basis FROM statutes WHERE doc_id % 3 < 2""")
+@query(f"""WITH statutes AS ({STATUTES}) SELECT doc_slug, unnest(regexp_extract_all(text, '(?:بمقتضى|استناداً إلى)[^\\n]{{10,300}}')) AS basis FROM statutes""")
 def x_legal_basis(spark, sf_dir):
     return statutes(spark, sf_dir).select("doc_slug", F.explode(metadata.legal_basis(F.col("text"))).alias("basis"))
 
@@ -294,9 +295,10 @@ def x_section_refs(spark, sf_dir):
     return statutes(spark, sf_dir).select("doc_slug", F.explode(extract.section_references(F.col("text"))).alias("r")).select("doc_slug", "r.*")
 
 
-ENTITIES_SQL = f"""statutes AS ({STATUTES}), named AS (
-SELECT doc_slug, 'وزارة ' || CASE doc_id % 4 WHEN 0 THEN 'العدل' WHEN 1 THEN 'المالية والتخطيط' WHEN 2 THEN 'الصحة' ELSE 'التربية والتعليم' END AS entity_name_ar, 'ministry' AS entity_type, 'issuer' AS role FROM statutes
-UNION ALL SELECT doc_slug, 'مجلس الوزراء', 'council', 'mentioned' FROM statutes UNION ALL SELECT doc_slug, 'دائرة ضريبة الدخل', 'department', 'mentioned' FROM statutes)"""
+ENTITY_PATTERNS = [("ministry", "وزارة\\s+\\S+(?:\\s+وال\\S+)?"), ("council", "مجلس\\s+ال\\S+"), ("department", "دائرة\\s+\\S+\\s+ال\\S+")]
+ENTITIES_SQL = f"""statutes AS ({STATUTES}), caught AS ({' UNION ALL '.join(f"SELECT doc_slug, {i} AS k, '{kind}' AS entity_type, unnest(regexp_extract_all(text, '{p}')) AS entity_name_ar FROM statutes" for i, (kind, p) in enumerate(ENTITY_PATTERNS))}),
+once AS (SELECT doc_slug, entity_name_ar, min(k) AS k, min(entity_type) AS entity_type FROM caught GROUP BY doc_slug, entity_name_ar),
+named AS (SELECT doc_slug, entity_name_ar, entity_type, CASE WHEN k = min(k) OVER (PARTITION BY doc_slug) THEN 'issuer' ELSE 'mentioned' END AS role FROM once)"""
 
 
 @query(f"WITH {ENTITIES_SQL} SELECT doc_slug, entity_name_ar, entity_type, role FROM named")
@@ -565,17 +567,19 @@ def y_based_on(spark, sf_dir):
     return graph.sources_of(d.select("doc_slug"), corpus.links(d), "BASED_ON", v.CONSTITUTION)
 
 
-CHAIN = "SELECT CAST(o_orderkey AS VARCHAR) AS source, CAST(o_orderkey + 1 AS VARCHAR) AS target FROM orders WHERE o_orderkey % 4 <> 3"
+#: Each order of a customer leads to that customer's next one.
+CHAIN = "SELECT * FROM (SELECT CAST(o_orderkey AS VARCHAR) AS source, CAST(lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS VARCHAR) AS target FROM orders) WHERE target IS NOT NULL"
 
 
 @query(f"""WITH RECURSIVE e AS ({CHAIN}), walk AS (SELECT source AS start, target AS cur, [source, target] AS path, 1 AS hops FROM e UNION ALL SELECT w.start, e.target, list_append(w.path, e.target), w.hops + 1 FROM walk w JOIN e ON e.source = w.cur WHERE NOT list_contains(w.path, e.target))
 SELECT start, cur AS terminal, hops FROM walk WHERE cur NOT IN (SELECT source FROM e)""")
 def y_repeal_chain(spark, sf_dir):
-    edges = table(spark, sf_dir, "orders").filter("o_orderkey % 4 <> 3").select(F.col("o_orderkey").cast("string").alias("source"), (F.col("o_orderkey") + 1).cast("string").alias("target"), F.lit("REPEALS").alias("rel_type"))
+    following = F.lead("o_orderkey").over(Window.partitionBy("o_custkey").orderBy("o_orderkey")).cast("string")
+    edges = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("source"), following.alias("target"), F.lit("REPEALS").alias("rel_type"))
     return graph.repeal_chains(edges)
 
 
-@query(f"WITH s AS ({STATUTES}) SELECT doc_slug FROM s WHERE doc_id % 4 = 0")
+@query(f"WITH {ENTITIES_SQL} SELECT doc_slug FROM named WHERE role = 'issuer' AND entity_name_ar = 'وزارة العدل'")
 def y_issued_by(spark, sf_dir):
     d = statutes(spark, sf_dir)
     return graph.issued_by(d.select("doc_slug"), extract.entities(d, "doc_slug"), "وزارة العدل")
@@ -610,3 +614,251 @@ SELECT k, v, gen FROM u QUALIFY row_number() OVER (PARTITION BY k ORDER BY gen D
 def s_index_upsert(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("v"))
     return records.upserted(o.filter("v % 2 = 0"), o.filter("v % 2 = 1"), ["k"], "v")
+
+
+# pages with containers, listings
+
+CLASSED = """SELECT page_id, concat('<html><body><nav><h1>قائمة</h1></nav><div class="top clicked-legislation-header"><div><h2>فرعي</h2></div><h3 class="t">قانون ', CAST(page_id AS STRING), ' <b>الصحة</b></h3></div><h1>آخر</h1>',
+  '<div class="a clicked-legislation-content b"><div>نص</div><p>', translate(html, '<>&', '   '), '</p><div><div>قانون</div></div></div><div>خارج</div></body></html>') AS html FROM pages"""
+
+
+def classed(spark, sf_dir):
+    return spark.sql(CLASSED.replace("FROM pages", "FROM {docs}"), docs=table(spark, sf_dir, "pages"))
+
+
+@query(rf"""WITH p AS ({CLASSED}) SELECT page_id, trim(regexp_replace(regexp_replace(regexp_extract(html, '(?s)<h3 class="t">(.*?)</h3>', 1), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS title FROM p""")
+def m_classed_title(spark, sf_dir):
+    return classed(spark, sf_dir).select("page_id", metadata.html_title(F.col("html")).alias("title"))
+
+
+@query(rf"""WITH p AS ({CLASSED}), q AS (SELECT page_id, regexp_extract(html, '(?s)clicked-legislation-content b">(.*)</div><div>خارج', 1) AS b FROM p)
+SELECT page_id, regexp_replace(regexp_replace({nested("regexp_replace(regexp_replace(b, '(?i)<(br|p|div|li|tr)\\b', chr(10) || '<' || chr(92) || '1', 'g'), '<[^>]+>', chr(10), 'g')", v.ENTITIES)}, '\n{{3,}}', {NEWLINES}, 'g'), '^[\s\x{{00a0}}]+|[\s\x{{00a0}}]+$', '', 'g') AS body FROM q""")
+def m_classed_body(spark, sf_dir):
+    return classed(spark, sf_dir).select("page_id", metadata.html_body(F.col("html")).alias("body"))
+
+
+@query(f"""WITH statutes AS ({STATUTES}) SELECT doc_slug, regexp_extract(title_ar || chr(10) || substr(text, 1, 400), 'وزارة\\s+\\S+(?:\\s+وال\\S+)?') AS issuer, nullif(regexp_extract(title_ar || chr(10) || substr(text, 1, 1500), '(?:بمقتضى|استناداً إلى)[^\\n]{{10,300}}'), '') AS basis FROM statutes""")
+def m_issuer_basis(spark, sf_dir):
+    opening = F.concat_ws("\n", "title_ar", F.substring("text", 1, metadata.OPENING))
+    return statutes(spark, sf_dir).select("doc_slug", extract.issuing_name(F.col("title_ar"), F.col("text")).alias("issuer"), F.get(metadata.legal_basis(opening), F.lit(0)).alias("basis"))
+
+
+LINKS = """SELECT doc_id, concat('/detail?x=1', CASE WHEN doc_id % 11 = 0 THEN '' ELSE concat('&LegislationID=', CAST(doc_id AS STRING)) END, CASE WHEN doc_id % 5 = 0 THEN '' ELSE concat('&LegislationType=', CAST(doc_id % 13 AS STRING)) END) AS href,
+  concat('قانون ', CASE WHEN doc_id % 3 = 0 THEN '' ELSE concat('رقم (', CAST(doc_id + 1 AS STRING), ')') END, CASE WHEN doc_id % 4 = 0 THEN '' ELSE concat(' لسنة ', CAST(1950 + doc_id % 75 AS STRING)) END) AS title,
+  concat('| ', CASE doc_id % 3 WHEN 0 THEN 'ملغى' WHEN 1 THEN 'موقوف' ELSE '' END, ' | تعليمات | رقم (', CAST(doc_id + 7 AS STRING), ') ', CAST(1970 + doc_id % 60 AS STRING), ' |') AS said FROM documents"""
+LINK_SQL = f"""l AS ({LINKS}), m AS (SELECT said, title AS title_ar, regexp_extract(href, 'LegislationID=(\\d+)', 1) AS legislation_id, coalesce(TRY_CAST(nullif(regexp_extract(href, 'LegislationType=(\\d+)', 1), '') AS INTEGER), 2) AS type_id,
+  nullif(regexp_extract(title, 'رقم\\s*\\(?(\\d+)', 1), '') AS doc_number, TRY_CAST(nullif(regexp_extract(title, 'لسنة\\s*(\\d{{4}})', 1), '') AS INTEGER) AS issue_year FROM l),
+n AS (SELECT *, CASE type_id {' '.join(f"WHEN {i} THEN '{w}'" for i, w in v.LISTING_TYPE_IDS.items())} ELSE '' END AS word FROM m WHERE legislation_id <> ''),
+found AS (SELECT *, CASE word {' '.join(f"WHEN '{a}' THEN '{b}'" for a, b in v.LISTING_TYPES.items())} ELSE 'law' END AS kind FROM n)"""
+SLUG_SQL = "CASE WHEN issue_year IS NOT NULL AND doc_number IS NOT NULL THEN replace(kind, '_', '-') || '-' || issue_year || '-' || doc_number ELSE 'legislation-' || legislation_id END"
+
+
+def links_of(spark, sf_dir):
+    return corpus.made(spark, sf_dir, LINKS)
+
+
+@query(f"WITH {LINK_SQL} SELECT legislation_id, type_id AS legislation_type_id, word AS doc_type_ar, kind AS doc_type_en, doc_number, issue_year, {SLUG_SQL} AS doc_slug FROM found")
+def s_from_links(spark, sf_dir):
+    return records.from_links(links_of(spark, sf_dir), "https://site.org/detail").select("legislation_id", "legislation_type_id", "doc_type_ar", "doc_type_en", "doc_number", "issue_year", "doc_slug")
+
+
+@query(f"""WITH {LINK_SQL}, e AS (SELECT legislation_id, coalesce(doc_number, nullif(regexp_extract(said, 'رقم\\s*\\(?(\\d+)', 1), '')) AS doc_number,
+  coalesce(issue_year, TRY_CAST(nullif(regexp_extract(said, '\\b(19[89]\\d|20[012]\\d)\\b', 1), '') AS INTEGER)) AS issue_year, CASE WHEN word = '' THEN 'instructions' ELSE kind END AS kind,
+  CASE WHEN contains(said, 'ملغى') THEN 'repealed' WHEN contains(said, 'موقوف') THEN 'suspended' ELSE 'active' END AS status_normalized FROM found)
+SELECT legislation_id, doc_number, issue_year, kind AS doc_type_en, status_normalized, {SLUG_SQL} AS doc_slug FROM e""")
+def s_enriched(spark, sf_dir):
+    df = links_of(spark, sf_dir)
+    entries = records.from_links(df, "https://site.org/detail").join(df.select(F.col("doc_id").cast("string").alias("legislation_id"), "said"), "legislation_id")
+    return records.enriched(entries, "said").select("legislation_id", "doc_number", "issue_year", "doc_type_en", "status_normalized", "doc_slug")
+
+
+@query(f"""WITH {LINK_SQL} SELECT legislation_id FROM found WHERE NOT contains(said, 'ملغى') AND NOT contains(said, 'موقوف')""")
+def s_active_only(spark, sf_dir):
+    df = links_of(spark, sf_dir)
+    entries = records.from_links(df, "https://site.org/detail").join(df.select(F.col("doc_id").cast("string").alias("legislation_id"), "said"), "legislation_id")
+    return records.active_only(records.enriched(entries, "said")).select("legislation_id")
+
+
+# validation of presence, dates, relationships, metadata, files
+
+@query(f"WITH s AS ({STATUTES}) SELECT doc_slug, 'has_document' AS check_name, false AS passed FROM s WHERE doc_slug NOT IN (SELECT doc_slug FROM s JOIN labels USING (doc_id))")
+def v_present(spark, sf_dir):
+    d = statutes(spark, sf_dir)
+    return validate.present(d, d.join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id")).select("doc_slug", "check_name", "passed")
+
+
+@query(f"""WITH s AS ({STATUTES}), d AS (SELECT doc_slug, printf('%04d-01-01', 1950 + doc_id % 75) AS a, CASE WHEN doc_id % 6 = 0 THEN NULL ELSE printf('%04d-01-01', 1990 + doc_id % 7) END AS b FROM s)
+SELECT doc_slug, b > a AS passed FROM d WHERE b IS NOT NULL""")
+def v_dates(spark, sf_dir):
+    d, n = statutes(spark, sf_dir), F.col("doc_id")
+    found = d.select("doc_slug", ids.version_id(F.col("doc_slug")).alias("version_id"), F.lit(True).alias("is_current"), F.format_string("%04d-01-01", 1950 + n % 75).alias("effective_from"),
+                     F.when(n % 6 != 0, F.format_string("%04d-01-01", 1990 + n % 7)).alias("effective_to"), F.lit("x").alias("full_text_original"))
+    return validate.versions(d, found).filter("check_name = 'version_date_order'").select("doc_slug", "passed")
+
+
+@query(f"""WITH {RELATIONS_SQL}, r AS (SELECT source, target, CASE WHEN ends_with(target, '5') THEN 1.5 ELSE confidence END AS c, CASE WHEN ends_with(target, '7') THEN target ELSE source END AS named FROM relations)
+SELECT source AS doc_slug, 'relationship_source_matches_doc' AS check_name FROM r WHERE named <> source UNION ALL SELECT source, 'relationship_confidence_range' FROM r WHERE c NOT BETWEEN 0 AND 1""")
+def v_relationships(spark, sf_dir):
+    d, t = statutes(spark, sf_dir), F.col("target_doc_slug")
+    found = extract.relationships(d).withColumns({"confidence": F.when(t.endswith("5"), 1.5).otherwise(F.col("confidence")), "source_doc_id": F.when(t.endswith("7"), F.col("target_doc_id")).otherwise(F.col("source_doc_id"))})
+    return validate.relationships(found, d.select("doc_slug", ids.doc_id(F.col("doc_slug")).alias("doc_id"))).select("doc_slug", "check_name")
+
+
+@query(f"""WITH s AS ({STATUTES}) SELECT doc_slug, 'missing_publication_date' AS check_name FROM s WHERE regexp_matches(text, 'الجريدة الرسمية\\s*رقم\\s*\\d+') AND doc_id % 4 = 1
+UNION ALL SELECT doc_slug, 'missing_legal_basis_text' FROM s WHERE doc_id % 5 = 2 AND regexp_matches(substr(text, 1, 1500), 'بمقتضى|استناداً|بناءً على')""")
+def v_metadata(spark, sf_dir):
+    d, n = statutes(spark, sf_dir), F.col("doc_id")
+    docs = d.select("doc_slug", metadata.gazette_number(F.col("text")).alias("official_gazette_number"), F.when(n % 4 != 1, "2001-01-01").alias("publication_date"), F.when(n % 5 != 2, "x").alias("legal_basis_text"), F.col("text").alias("original_text"))
+    return validate.metadata(docs).select("doc_slug", "check_name")
+
+
+@query(f"""WITH {SECTIONS_SQL}, spoilt AS (SELECT s.doc_slug, display_order, CASE WHEN section_type = 'preamble' THEN 0 ELSE display_order END AS place, raw_text || CASE WHEN doc_id % 9 = 0 AND display_order >= 2 THEN ' طباعة التشريع' ELSE '' END AS t FROM sections s JOIN statutes USING (doc_slug))
+SELECT doc_slug, CAST(arg_min(display_order, place) AS INTEGER) AS display_order FROM spoilt WHERE {' OR '.join(f"contains(t, '{a}')" for a in v.ARTIFACT_LINES)} GROUP BY doc_slug""")
+def v_artifacts(spark, sf_dir):
+    d = statutes(spark, sf_dir)
+    built = segment.build(corpus.sections(spark, sf_dir)).join(d.select("doc_slug", F.col("doc_id").alias("n")), "doc_slug")
+    spoiled = built.withColumn("original_text", F.when((F.col("n") % 9 == 0) & (F.col("display_order") >= 2), F.concat("original_text", F.lit(" طباعة التشريع"))).otherwise(F.col("original_text")))
+    found = validate.sections(d, spoiled).filter("check_name = 'ui_artifact_in_section_text'")
+    return found.select("doc_slug", F.regexp_extract("record_id", r"(\d+)$", 1).cast("int").alias("display_order"))
+
+
+@query(f"WITH s AS ({STATUTES}) SELECT doc_slug, 'file_exists_clean_json_path' AS check_name, doc_id IN (SELECT doc_id FROM labels) AS passed FROM s WHERE doc_id % 4 > 0")
+def v_files(spark, sf_dir):
+    d = statutes(spark, sf_dir).withColumn("clean_json_path", F.when(F.col("doc_id") % 4 > 0, F.concat(F.lit("clean/"), F.col("doc_id").cast("string"))))
+    there = table(spark, sf_dir, "labels").select(F.concat(F.lit("clean/"), F.col("doc_id").cast("string")).alias("path"))
+    return validate.files(d, there, "clean_json_path").select("doc_slug", "check_name", "passed")
+
+
+# further projections
+
+SECTION_ID = "doc_slug || '-v1-' || CASE section_type WHEN 'preamble' THEN 'pre' WHEN 'part' THEN 'prt' WHEN 'chapter' THEN 'cha' WHEN 'article' THEN 'art' WHEN 'paragraph' THEN 'par' ELSE 'anx' END || '-' || printf('%04d', display_order)"
+DATES_SQL = f"""WITH s AS ({STATUTES}), o AS (SELECT doc_slug, source_url, regexp_extract_all(title_ar || chr(10) || substr(text, 1, 1500), '(\\d{{1,2}}[/-]\\d{{1,2}}[/-]\\d{{4}})') AS d FROM s),
+i AS (SELECT doc_slug, source_url, list_distinct(list_transform(d, lambda x: regexp_replace(x, '(\\d+)[/-](\\d+)[/-](\\d+)', '\\3-\\2-\\1'))) AS d, d[1] AS first, d[2] AS second FROM o)"""
+
+
+@query(f"""{DATES_SQL} SELECT {uuid_sql('document', 'doc_slug')} AS doc_id, doc_slug || '-v1' AS version_id, doc_slug, 1 AS version_number, 'original' AS version_type, true AS is_current, source_url,
+regexp_replace(coalesce(second, first), '(\\d+)[/-](\\d+)[/-](\\d+)', '\\3-\\2-\\1') AS effective_from FROM i""")
+def p_versions(spark, sf_dir):
+    found = export.relational(corpus.versions(corpus.documents(statutes(spark, sf_dir))), "versions")
+    return found.select("doc_id", "version_id", "doc_slug", "version_number", "version_type", "is_current", "source_url", "effective_from")
+
+
+@query(f"WITH {SECTIONS_SQL} SELECT {SECTION_ID} AS section_id, doc_slug || '-v1' AS version_id, section_type, section_label, display_order FROM sections")
+def p_sections(spark, sf_dir):
+    return export.relational(segment.build(corpus.sections(spark, sf_dir)), "sections").select("section_id", "version_id", "section_type", "section_label", "display_order")
+
+
+@query(f"""WITH {SECTIONS_SQL}, f AS (SELECT *, {FLAG_TEXT} AS t FROM sections) SELECT {SECTION_ID} AS section_id, regexp_matches(t, 'بعد الحصول على موافقة|يستلزم الحصول على|بموافقة|بإذن من|بعد استئذان') AS contains_approval_requirement,
+regexp_matches(t, 'استثناءً من|مع مراعاة|باستثناء|على الرغم من|فيما عدا') AS contains_exception, regexp_matches(t, 'يرفع تقريراً|تقديم تقرير|الإفصاح عن|الإبلاغ عن|رفع بيان|تقرير دوري') AS contains_reporting_requirement FROM f""")
+def p_flags(spark, sf_dir):
+    found = export.relational(segment.build(corpus.sections(spark, sf_dir)), "section_compliance_flags")
+    return found.select("section_id", "contains_approval_requirement", "contains_exception", "contains_reporting_requirement")
+
+
+@query(f"WITH {SCORES_SQL}, r AS (SELECT doc_slug, topic_slug, rank, confidence FROM ranked JOIN statutes USING (doc_id)) SELECT {uuid_sql('topic', uuid_sql('document', 'doc_slug') + chr(10) + ' || ' + chr(39) + '::topic-' + chr(39) + ' || topic_slug')} AS assignment_id, {uuid_sql('document', 'doc_slug')} AS doc_id, 'topic-' || topic_slug AS topic_id, rank = 1 AS is_primary, CAST(confidence AS DOUBLE) AS confidence FROM r")
+def p_document_topics(spark, sf_dir):
+    found = topics.ranked(corpus.topic_scores(statutes(spark, sf_dir), "doc_slug"), "doc_slug")
+    return export.relational(topics.assignments(found), "document_topics").select("assignment_id", "doc_id", "topic_id", "is_primary", "confidence")
+
+
+@query(f"WITH {RELATIONS_SQL} SELECT {uuid_sql('relationship', chr(39).join(['source || ', '-', ' || rel_type || ', '-', ' || target']))} AS rel_id, source AS source_doc_slug, target AS target_doc_slug, rel_type, confidence FROM relations")
+def p_relationships(spark, sf_dir):
+    return export.relational(extract.relationships(statutes(spark, sf_dir)), "document_relationships").select("rel_id", "source_doc_slug", "target_doc_slug", "rel_type", "confidence")
+
+
+ENTITY_SLUG = "entity_type || '-' || substr(sha1(encode(entity_name_ar)), 1, 12)"
+ROLES_SQL = f"""{ENTITIES_SQL}, roles AS (SELECT doc_slug, entity_name_ar, entity_type, role, {uuid_sql('document', 'doc_slug')} AS doc_id, 'entity-' || {ENTITY_SLUG} AS entity_id FROM named)"""
+
+
+def roles_of(spark, sf_dir):
+    return extract.deduplicated(extract.entities(statutes(spark, sf_dir), "doc_slug"))
+
+
+@query(f"WITH {ROLES_SQL} SELECT {uuid_sql('entity', chr(39).join(['doc_id || ', '::', ' || entity_id || ', '::', ' || role']))} AS role_id, doc_id, entity_id, entity_name_ar, role FROM roles")
+def p_document_entities(spark, sf_dir):
+    return export.relational(roles_of(spark, sf_dir)["roles"], "document_entities").select("role_id", "doc_id", "entity_id", "entity_name_ar", "role")
+
+
+@query(f"WITH {ROLES_SQL} SELECT doc_slug, entity_id AS issuing_entity_id, entity_name_ar AS issuing_entity_name_ar FROM roles WHERE role = 'issuer'")
+def e_deduplicated(spark, sf_dir):
+    return roles_of(spark, sf_dir)["issuers"]
+
+
+@query(f"WITH n AS (SELECT DISTINCT list_value({', '.join(f"'{m}'" for m in MERGE_LIST)})[doc_id % {len(MERGE_LIST)} + 1] AS name FROM documents), c AS (SELECT name, CASE {' '.join(f"WHEN name = '{a}' THEN '{b}'" for a, b in v.ENTITY_MERGES.items())} ELSE name END AS to_name FROM n) SELECT count(DISTINCT name) AS names_before, count(DISTINCT to_name) AS names_after, count(DISTINCT name) - count(DISTINCT to_name) AS net_reduction FROM c")
+def e_merge_counts(spark, sf_dir):
+    pick = F.element_at(F.array(*[F.lit(x) for x in MERGE_LIST]), (F.col("doc_id") % len(MERGE_LIST) + 1).cast("int"))
+    found = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("doc_slug"), pick.alias("entity_name_ar"), F.lit("x").alias("entity_type"), F.lit(0).alias("place"), F.lit("issuer").alias("role"))
+    return extract.deduplicated(found)["counts"]
+
+
+@query(f"WITH {SECTIONS_SQL} SELECT {SECTION_ID} AS id, section_type, display_order, 'Section' AS label FROM sections")
+def n_sections(spark, sf_dir):
+    found = export.nodes(segment.build(corpus.sections(spark, sf_dir)), "section")
+    return found.select(F.col("`:ID(section)`").alias("id"), "section_type", "display_order", F.col("`:LABEL`").alias("label"))
+
+
+@query(f"WITH s AS ({STATUTES}) SELECT {uuid_sql('document', 'doc_slug')} AS id, doc_slug, title_ar, source_url, 'Document' AS label FROM s")
+def n_documents(spark, sf_dir):
+    found = export.nodes(corpus.documents(statutes(spark, sf_dir)), "doc")
+    return found.select(F.col("`:ID(doc)`").alias("id"), "doc_slug", "title_ar", "source_url", F.col("`:LABEL`").alias("label"))
+
+
+@query(f"WITH {ENTITIES_SQL} SELECT DISTINCT 'entity-' || {ENTITY_SLUG} AS id, entity_name_ar, entity_type, 'Entity' AS label FROM named")
+def n_entities(spark, sf_dir):
+    found = export.nodes(extract.entity_records(extract.entities(statutes(spark, sf_dir), "doc_slug")), "entity")
+    return found.select(F.col("`:ID(entity)`").alias("id"), "entity_name_ar", "entity_type", F.col("`:LABEL`").alias("label"))
+
+
+@query(f"WITH s AS ({STATUTES}) SELECT {uuid_sql('document', 'doc_slug')} AS start_id, doc_slug || '-v1' AS end_id, 'HAS_VERSION' AS kind, true AS is_current FROM s")
+def d_has_version(spark, sf_dir):
+    e = export.edges(corpus.versions(corpus.documents(statutes(spark, sf_dir))), "HAS_VERSION", "doc_id", "version_id")
+    return e.select(F.col("`:START_ID(doc)`").alias("start_id"), F.col("`:END_ID(version)`").alias("end_id"), F.col("`:TYPE`").alias("kind"), "is_current")
+
+
+@query(f"WITH {ROLES_SQL} SELECT doc_id AS start_id, entity_id AS end_id, 'ISSUED_BY' AS kind FROM roles WHERE role = 'issuer'")
+def d_issued_by(spark, sf_dir):
+    issuers = roles_of(spark, sf_dir)["issuers"].withColumn("doc_id", ids.doc_id(F.col("doc_slug")))
+    e = export.edges(issuers, "ISSUED_BY", "doc_id", "issuing_entity_id")
+    return e.select(F.col("`:START_ID(doc)`").alias("start_id"), F.col("`:END_ID(entity)`").alias("end_id"), F.col("`:TYPE`").alias("kind"))
+
+
+@query(f"WITH {SCORES_SQL}, r AS (SELECT doc_slug, topic_slug, rank, confidence FROM ranked JOIN statutes USING (doc_id)) SELECT {uuid_sql('document', 'doc_slug')} AS start_id, 'topic-' || topic_slug AS end_id, 'HAS_TOPIC' AS kind, rank = 1 AS is_primary, CAST(confidence AS DOUBLE) AS confidence FROM r")
+def d_has_topic(spark, sf_dir):
+    found = topics.assignments(topics.ranked(corpus.topic_scores(statutes(spark, sf_dir), "doc_slug"), "doc_slug"))
+    e = export.edges(found, "HAS_TOPIC", "doc_id", "topic_id")
+    return e.select(F.col("`:START_ID(doc)`").alias("start_id"), F.col("`:END_ID(topic)`").alias("end_id"), F.col("`:TYPE`").alias("kind"), "is_primary", "confidence")
+
+
+# jobs over a stored corpus
+
+@query(f"WITH {SCORES_SQL}, c AS (SELECT doc_id FROM statutes WHERE doc_id IN (SELECT doc_id FROM labels)) SELECT count(*) AS total, count(h.doc_id) AS covered, round(100.0 * count(h.doc_id) / count(*), 1)::DOUBLE AS coverage_pct FROM c LEFT JOIN (SELECT DISTINCT doc_id FROM scores) h USING (doc_id)")
+def t_retopic(spark, sf_dir):
+    d = statutes(spark, sf_dir)
+    clean = d.join(table(spark, sf_dir, "labels").select("doc_id").distinct(), "doc_id").select("doc_slug", text.normalize(F.col("text")).alias("normalized_text"))
+    return topics.retopic(d, clean, TAXONOMY)["coverage"]
+
+
+@query("""WITH r AS (SELECT doc_id, doc_id % 9 <> 0 AS success, doc_id % 11 = 0 AS skipped, doc_id % 4 AS topics, doc_id % 5 AS sections FROM documents), g AS (SELECT * FROM r WHERE success AND NOT skipped)
+SELECT (SELECT count(*) FROM r WHERE NOT skipped) AS processed, round(100.0 * count(*) FILTER (topics > 0) / count(*), 1)::DOUBLE AS has_topic_assignments_pct, round(avg(sections), 1)::DOUBLE AS avg_sections,
+round(100.0 * count(*) / (SELECT count(*) FROM r WHERE NOT skipped), 1)::DOUBLE AS success_rate_pct, (SELECT string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY CAST(doc_id AS VARCHAR)) FROM r WHERE NOT skipped AND NOT success) AS failed_slugs FROM g""")
+def a_quality_report(spark, sf_dir):
+    n = F.col("doc_id")
+    runs = table(spark, sf_dir, "documents").select(n.cast("string").alias("doc_slug"), (n % 9 != 0).alias("success"), (n % 11 == 0).alias("skipped"), F.lit("x").alias("legal_basis_text"), F.lit("").alias("publication_date"),
+                                                    (n % 4).alias("topics"), F.lit(0).alias("entities"), F.lit(1).alias("relationships"), (n % 5).alias("sections"), F.lit(True).alias("validation_passed"))
+    return records.quality_report(runs).select("processed", "has_topic_assignments_pct", "avg_sections", "success_rate_pct", F.array_join("failed_slugs", ",").alias("failed_slugs"))
+
+
+@query(f"""WITH {SECTIONS_SQL}, {RELATIONS_SQL.removeprefix(f"statutes AS ({STATUTES}), ")} SELECT 'section' AS part, section_type AS value, count(*) AS n FROM sections GROUP BY section_type UNION ALL SELECT 'relation', rel_type, count(*) FROM relations GROUP BY rel_type""")
+def a_profile_parts(spark, sf_dir):
+    d = statutes(spark, sf_dir)
+    docs = corpus.documents(d)
+    found = records.profile(docs, corpus.sections(spark, sf_dir), corpus.topic_scores(d, "doc_slug"), extract.relationships(d))
+    return found.filter("part in ('section', 'relation')").select("part", "value", "n")
+
+
+@query(f"WITH {ENTITIES_SQL} SELECT doc_slug, entity_name_ar, entity_type, role FROM named")
+def y_structure_entities(spark, sf_dir):
+    from .structure import structure
+
+    pages = statutes(spark, sf_dir).select("doc_slug", "source_url", "title_ar", "text")
+    return structure(pages, TAXONOMY)["document_entities"].select("doc_slug", "entity_name_ar", "entity_type", "role")

@@ -66,14 +66,14 @@ def sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment.sections(statutes(spark, sf_dir), "doc_slug")
 
 
-def documents(df: DataFrame) -> DataFrame:
-    """Document records of statutes: metadata of the title and the opening of the text."""
+def documents(df: DataFrame, *more: str, original: str = "text") -> DataFrame:
+    """Document records of statutes: metadata of the title and the opening of the text; more columns are carried along."""
     opening = F.concat_ws("\n", "title_ar", F.substring("text", 1, metadata.OPENING))
     d = metadata.dates(opening)
     return df.select("doc_slug", ids.doc_id(F.col("doc_slug")).alias("doc_id"), "title_ar", metadata.doc_type(F.col("title_ar")).alias("doc_type"),
                      metadata.doc_number(opening).alias("doc_number"), metadata.issue_year(opening).alias("issue_year"), metadata.gazette_number(opening).alias("official_gazette_number"),
                      metadata.publication_date(d).alias("publication_date"), metadata.effective_date(d).alias("effective_date"), metadata.status(opening).alias("status"),
-                     F.get(metadata.legal_basis(opening), F.lit(0)).alias("legal_basis_text"), "source_url", F.col("text").alias("original_text"))
+                     F.get(metadata.legal_basis(opening), F.lit(0)).alias("legal_basis_text"), "source_url", F.col(original).alias("original_text"), *more)
 
 
 def versions(df: DataFrame) -> DataFrame:

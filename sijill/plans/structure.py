@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ids, metadata, text
 from ..operators import extract, records, segment, topics, validate
+from ..sources.storage import checkpointed
 from . import corpus
 
 
@@ -18,24 +19,32 @@ def parsed(pages: DataFrame) -> DataFrame:
     return pages.select("doc_slug", "source_url", metadata.html_title(html).alias("title_ar"), text.remove_artifact_lines(metadata.html_body(html)).alias("text"))
 
 
+def newest(pages: DataFrame) -> DataFrame:
+    """One page a doc_slug: the last by fetch_timestamp, if there is one, else by its content."""
+    order = [c for c in ("fetch_timestamp", "html", "text", "source_url") if c in pages.columns]
+    return records.latest(pages, ["doc_slug"], *order)
+
+
 def structure(pages: DataFrame, taxonomy: list[dict]) -> dict[str, DataFrame]:
-    """All tables of a corpus, lazily: documents, versions, sections, entities, roles, topics, relationships, validation, summaries."""
-    found = parsed(pages).filter(F.coalesce(F.col("text"), F.lit("")) != "")
-    cleaned = text.clean(found)
-    search = cleaned.withColumn("text", F.col("normalized_text"))
-    roles = extract.entities(search, "doc_slug").withColumn("doc_id", ids.doc_id(F.col("doc_slug")))
+    """All tables of a corpus: documents, versions, sections, entities, roles, topics, relationships, validation, summaries.
+
+    Pages are parsed and cleaned, and sections built, once: both are checkpointed and the tables, which
+    are lazy, derived from them. Of pages of one doc_slug the newest counts.
+    """
+    cleaned = checkpointed(text.clean(parsed(newest(pages)).filter(F.coalesce(F.col("text"), F.lit("")) != "")))
+    # institutions come from the text for reading: the copy for search has lost the letters that they are told by
+    roles = extract.entities(cleaned, "doc_slug", "original_text").withColumn("doc_id", ids.doc_id(F.col("doc_slug")))
     roles = roles.withColumn("entity_id", ids.entity_id(ids.entity_slug(F.col("entity_name_ar"), F.col("entity_type"))))
     roles = roles.withColumn("role_id", ids.role_id(F.col("doc_id"), F.col("entity_id"), F.col("role")))
     issuer = roles.filter("role = 'issuer'").select("doc_slug", F.col("entity_id").alias("issuing_entity_id"), F.col("entity_name_ar").alias("issuing_entity_name_ar"))
     status = F.col("status")
-    docs = (corpus.documents(found).drop("original_text").join(issuer, "doc_slug", "left")
-            .join(cleaned.select("doc_slug", "original_text", "normalized_text"), "doc_slug")
+    docs = (corpus.documents(cleaned, "normalized_text", original="original_text").join(issuer, "doc_slug", "left")
             .withColumns({"status_normalized": status, "source_status_text": metadata.status_name(status), "applicability_scope": extract.scope(F.col("normalized_text"))}))
     versions = corpus.versions(docs)
-    sections = segment.build(segment.sections(found, "doc_slug"))
+    sections = checkpointed(segment.build(segment.sections(cleaned, "doc_slug")))
     assigned = topics.assignments(topics.ranked(topics.scores(cleaned, taxonomy, "doc_slug"), "doc_slug"))
     relations = extract.relationships(cleaned.withColumn("text", F.col("original_text")))
-    checks = records.union_all([validate.documents(docs), validate.versions(docs, versions), validate.sections(docs, sections), validate.topics(docs, assigned),
+    checks = records.union_all([validate.present(newest(pages), docs), validate.documents(docs), validate.versions(docs, versions), validate.sections(docs, sections), validate.topics(docs, assigned),
                                 validate.relationships(relations, docs), validate.metadata(docs)])
     summaries = records.summaries(docs.drop("original_text", "normalized_text"), sections, roles, assigned, relations.withColumnRenamed("source_doc_slug", "doc_slug"))
     return {"documents": docs, "versions": versions, "sections": sections, "entities": extract.entity_records(roles), "document_entities": roles, "document_topics": assigned,
