@@ -159,7 +159,10 @@ def kept(kind, make=None):
     if kind not in _kept:
         import ctypes
 
+        import pyarrow as pa
+
         _kept.clear()
+        pa.default_memory_pool().release_unused()
         try:
             ctypes.CDLL(None).malloc_trim(0)  # else freed memory stays with the worker
         except (AttributeError, OSError):

@@ -20,6 +20,7 @@ from .common import checkpointed, crc32, texts
 from .wordbpe import chunked, encoder
 
 LENGTH, OPEN, END_ID = 4096, 16, 2
+CHUNK = 1_000_000  # characters encoded together; it bounds memory only
 #: Partitions whose open windows are merged in one task: at most GROUP * OPEN * LENGTH ids.
 GROUP = 4
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -104,7 +105,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = END_ID, length: int = LE
 
         for batch in batches:
             doc_ids, some = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in chunked(some):
+            for a, b in chunked(some, CHUNK):
                 flat, n = enc.encode(some[a:b], end_id)
                 raw, ends = flat.tobytes(), (4 * np.cumsum(n)).tolist()
                 for doc_id, x, y in zip(doc_ids[a:b], [0, *ends], ends):
