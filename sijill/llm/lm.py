@@ -199,7 +199,7 @@ def load(uri: str, *kinds: str) -> list[np.ndarray]:
 
 
 # The arrays of each kind of file.
-FILES = {"words": ("<u8", "<u4"), "pairs": ("<u8", "u1", "<u8", "<u4"), "contexts": ("<u4", "<u4", "<u4", "<u4", "<u4"), "after": ("<u4", "<u4")}
+FILES = {"words": ("<u8", "<u8"), "pairs": ("<u8", "u1", "<u8", "<u8"), "contexts": ("<u4", "<u8", "<u8", "<u8", "<u8"), "after": ("<u4", "<u8")}
 
 
 def fit(docs: DataFrame, ranges: int | None = None) -> Model:
@@ -213,7 +213,7 @@ def fit(docs: DataFrame, ranges: int | None = None) -> Model:
 
         bucket = table.column("bucket")[0].as_py()
         keys, counts = joined(table)
-        save(f"{folder}/words-{bucket}", keys=keys, counts=np.minimum(counts, 2**32 - 1).astype("<u4"))
+        save(f"{folder}/words-{bucket}", keys=keys, counts=counts.astype("<u8"))
         often = np.argsort(-counts)[:64]
         return pa.table({"tokens": [int(counts.sum())], "words": [len(keys)], "top": [keys[often].tobytes()], "top_n": [counts[often].tobytes()]})
 
@@ -236,7 +236,7 @@ def fit(docs: DataFrame, ranges: int | None = None) -> Model:
         bucket = table.column("bucket")[0].as_py()
         keys, counts = joined(table)
         large = counts >= 255
-        save(f"{folder}/pairs-{bucket}", keys=keys, small=np.minimum(counts, 255).astype(np.uint8), at=np.flatnonzero(large).astype("<u8"), large=np.minimum(counts[large], 2**32 - 1).astype("<u4"))
+        save(f"{folder}/pairs-{bucket}", keys=keys, small=np.minimum(counts, 255).astype(np.uint8), at=np.flatnonzero(large).astype("<u8"), large=counts[large].astype("<u8"))
         low = keys & np.uint64(0xFFFFFFFF)
         first, second = (keys >> HALF, low) if bucket < ranges else (low, keys >> HALF)
         order = np.argsort(first, kind="stable") if bucket >= ranges else np.arange(len(first))
@@ -244,7 +244,7 @@ def fit(docs: DataFrame, ranges: int | None = None) -> Model:
         starts = np.flatnonzero(np.concatenate([[True], firsts[1:] != firsts[:-1]]))
         context = [np.add.reduceat(x.astype(np.int64), starts) for x in (sorted_counts, sorted_counts == 1, sorted_counts == 2, sorted_counts >= 3)]
         if bucket < ranges:
-            save(f"{folder}/contexts-{bucket}", first=firsts[starts].astype("<u4"), **{f"c{i}": np.minimum(c, 2**32 - 1).astype("<u4") for i, c in enumerate(context)})
+            save(f"{folder}/contexts-{bucket}", first=firsts[starts].astype("<u4"), **{f"c{i}": c.astype("<u8") for i, c in enumerate(context)})
             hot = np.zeros((0, 5), np.int64)
         else:
             hot = np.column_stack([firsts[starts].astype(np.int64), *context])
@@ -268,7 +268,7 @@ def fit(docs: DataFrame, ranges: int | None = None) -> Model:
 
         bucket = table.column("bucket")[0].as_py()
         keys, counts = joined(table)
-        save(f"{folder}/after-{bucket}", second=(keys >> HALF).astype("<u4"), counts=np.minimum(counts, 2**32 - 1).astype("<u4"))
+        save(f"{folder}/after-{bucket}", second=(keys >> HALF).astype("<u4"), counts=counts.astype("<u8"))
         return pa.table({"stats": [np.array(of_counts(counts), np.int64).tobytes()]})
 
     rows = merged.filter("bucket >= 0").groupBy("bucket").applyInArrow(after, "stats binary").collect()
