@@ -27,11 +27,16 @@ from .vectors import best, blocks_of, by_length, matrix, over_blocks, shard_of,
 EVERY, K = 100, 10
 SHARD, LINKS, BUILD_BEAM, BEAM, BATCH, OPEN = 4096, 16, 80, 128, 256, 4
 FAR = np.float32(np.inf)
+#: Components are divided by the shard's greatest; below SMALL double precision is used.
+SMALL, OUTSIDE = 1e-3, 1000.0
 
 
 class Graph:
     def __init__(self, vectors: np.ndarray, links: int = LINKS, beam: int = BUILD_BEAM):
-        self.vectors = np.ascontiguousarray(vectors, np.float32)
+        self.scale = float(np.abs(vectors).max(initial=0)) or 1.0
+        scaled = vectors / self.scale
+        narrow = np.abs(scaled).max(axis=1, initial=0).min(initial=1) >= SMALL  # else squares of small vectors would vanish in single precision
+        self.vectors = np.ascontiguousarray(scaled, np.float32 if narrow else np.float64)
         self.links, self.beam = links, beam
         n = len(vectors)
         draw = np.random.default_rng(7)
@@ -47,14 +52,14 @@ class Graph:
     @classmethod
     def stored(cls, data: bytes) -> Graph:
         g, f = cls.__new__(cls), np.load(io.BytesIO(data))
-        g.vectors, g.entry, g.near = f["vectors"], int(f["entry"]), []
+        g.vectors, g.scale, g.entry, g.near = f["vectors"], float(f["scale"]), int(f["entry"]), []
         for i in range(int(f["depth"])):
             g.near.append(f[f"near{i}"])
         return g
 
     def flat(self) -> bytes:
         out = io.BytesIO()
-        np.savez(out, vectors=self.vectors, entry=self.entry, depth=len(self.near), **{f"near{i}": x for i, x in enumerate(self.near)})
+        np.savez(out, vectors=self.vectors, scale=self.scale, entry=self.entry, depth=len(self.near), **{f"near{i}": x for i, x in enumerate(self.near)})
         return out.getvalue()
 
     def distances(self, points: np.ndarray, nodes: np.ndarray) -> np.ndarray:
@@ -68,7 +73,7 @@ class Graph:
         """The beam of each point: nodes, nearest first, and their squared distances."""
         w, n = len(points), len(self.vectors)
         nodes = np.full((w, beam), -1, np.int64)
-        dist = np.full((w, beam), FAR, np.float32)
+        dist = np.full((w, beam), FAR, self.vectors.dtype)
         opened = np.ones((w, beam), bool)
         seen = np.zeros((w, n + 1), bool)  # the last column stands for no node
         seen[:, n] = True
@@ -182,7 +187,10 @@ class Graph:
     def nearest(self, points: np.ndarray, k: int, beam: int = BEAM) -> np.ndarray:
         """Nodes of up to k nearest vectors of each point, -1 where there are fewer."""
         out = []
-        points = np.ascontiguousarray(points, np.float32)
+        # points far outside stand at OUTSIDE times the shard's size in their direction, which keeps the order of its vectors
+        size = np.abs(points).max(axis=1, initial=0, keepdims=True)
+        points = np.where(size / OUTSIDE > self.scale, points / np.maximum(size, np.finfo(float).tiny) * OUTSIDE, points / self.scale)
+        points = np.ascontiguousarray(points, self.vectors.dtype)
         for a in range(0, len(points), BATCH):
             some = points[a : a + BATCH]
             starts = np.full((len(some), 1), self.entry, np.int64)

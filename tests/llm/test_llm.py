@@ -118,6 +118,17 @@ def test_lm_arrays():
     assert lm.unpack_counts(lm.pack_counts(counts)).tolist() == counts.tolist()
 
 
+def test_lm_counts_are_whole(tmp_path):
+    """Counts beyond 32 bits come back as they were stored."""
+    model, keys = lm.Model(f"file://{tmp_path}", 1), np.array([5, 9 << 32, 2**63], np.uint64)
+    counts = np.array([1, 2**32 + 7, 2**50])
+    lm.save(f"{model.folder}/words-0", keys=keys, counts=counts.astype(lm.FILES["words"][1]))
+    large = counts >= 255
+    lm.save(f"{model.folder}/pairs-0", keys=keys, small=np.minimum(counts, 255).astype(np.uint8), at=np.flatnonzero(large).astype("<u8"), large=counts[large].astype(lm.FILES["pairs"][3]))
+    lookup = lm.Lookup(model)
+    assert lookup.words(keys).tolist() == counts.tolist() == lookup.pairs(keys, 0).tolist()
+
+
 def test_lm_frequent_words_are_split(spark):
     """A word that is a third of all tokens: its pairs go by their second word, with the same result."""
     r = random.Random(2)
@@ -226,6 +237,35 @@ def test_nearest(spark):
     assert np.mean(hits) >= 0.9
 
 
+@pytest.mark.parametrize("size", [1e20, 1e-25, 1e150])
+def test_graph_of_any_magnitude(size):
+    """Very large and small vectors, also beside each other, and queries far outside the graph."""
+    x = np.random.default_rng(8).normal(size=(800, 8))
+    x[400:] *= size
+    graph = hnsw.Graph.stored(hnsw.Graph(x).flat())
+    outside = np.random.default_rng(9).normal(size=(20, 8)) * size * 1e8
+    for points in (x[[3, 50, 399, 400, 650]], outside):
+        unit = np.abs(points).max(axis=1)
+        hits = []
+        for q, u, found in zip(points, unit, graph.nearest(points, 10), strict=True):
+            d = ((x / u) ** 2).sum(1) - 2 * (x / u) @ (q / u)  # the squared distance but for what all share
+            assert len(set(found.tolist())) == 10 and found.min() >= 0
+            hits.append(len(set(found.tolist()) & set(np.argsort(d)[:10].tolist())) / 10)
+        assert np.mean(hits) >= 0.9
+
+
+def test_graph_at_production_size():
+    """One graph of more vectors than a beam meets: recall against brute force, and how few distances it measures."""
+    x = np.random.default_rng(10).normal(size=(6000, 64))
+    graph, measured = hnsw.Graph(x), []
+    distances = graph.distances
+    graph.distances = lambda points, nodes: measured.append(np.count_nonzero(nodes >= 0)) or distances(points, nodes)
+    found = graph.nearest(x[::60], 11)
+    want = np.argsort(((x[::60, None] - x[None]) ** 2).sum(2), 1)[:, :11]
+    assert np.mean([len(set(a) & set(b)) / 11 for a, b in zip(found.tolist(), want.tolist(), strict=True)]) >= 0.9
+    assert sum(measured) < 100 * len(x) / 2
+
+
 def test_nearest_odd(spark):
     df = odd_vectors(spark)
     got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in hnsw.search(df).collect()}
