@@ -25,7 +25,7 @@ from .common import checkpointed
 from .vectors import best, blocks_of, by_length, matrix, over_blocks, shard_of, valid
 
 EVERY, K = 100, 10
-SHARD, LINKS, BUILD_BEAM, BEAM, BATCH, OPEN = 4096, 16, 80, 128, 256, 4
+SHARD, LINKS, BUILD_BEAM, BEAM, BATCH, OPEN = 16384, 16, 80, 128, 256, 4
 FAR = np.float32(np.inf)
 #: Components are divided by the shard's greatest; below SMALL double precision is used.
 SMALL, OUTSIDE = 1e-3, 1000.0
