@@ -245,9 +245,9 @@ def fit(docs: DataFrame, ranges: int | None = None) -> Model:
         context = [np.add.reduceat(x.astype(np.int64), starts) for x in (sorted_counts, sorted_counts == 1, sorted_counts == 2, sorted_counts >= 3)]
         if bucket < ranges:
             save(f"{folder}/contexts-{bucket}", first=firsts[starts].astype("<u4"), **{f"c{i}": c.astype("<u8") for i, c in enumerate(context)})
-            hot = np.zeros((0, 5), np.int64)
+            hot = np.zeros((0, 5), ">i8")
         else:
-            hot = np.column_stack([firsts[starts].astype(np.int64), *context])
+            hot = np.column_stack([firsts[starts].astype(np.int64), *context]).astype(">i8")
         after, n = summed(second << HALF)
         rows = dealt(after, n, ranges)
         stats = np.array([len(keys), *of_counts(counts)], np.int64).tobytes()
@@ -255,13 +255,17 @@ def fit(docs: DataFrame, ranges: int | None = None) -> Model:
         return pa.Table.from_batches([blob_batch(rows)])
 
     merged = checkpointed(spark, per_task(docs, pair_keys).groupBy("bucket").applyInArrow(pairs, BLOBS))
-    rows = merged.filter("bucket < 0").select("keys", "counts").collect()
+    rows = merged.filter("bucket < 0").select("keys").collect()
     stats = np.sum([np.frombuffer(r["keys"], np.int64) for r in rows], axis=0)
     model.pairs, model.pair_discounts = int(stats[0]), discounts(*stats[1:5].tolist())
-    hot = np.concatenate([np.frombuffer(r["counts"], np.int64).reshape(-1, 5) for r in rows])
+    number = lambda k: F.conv(F.hex(F.substring("counts", F.col("i") * 40 + (8 * k + 1), F.lit(8))), 16, 10).cast("long")
+    hot = (merged.filter("bucket < 0 and length(counts) > 0").select("counts", F.explode(F.expr("sequence(0, cast(length(counts) div 40 as int) - 1)")).alias("i"))
+           .select(number(0).alias("word"), *(number(k).alias(f"c{k}") for k in range(1, 5)))
+           .groupBy("word").agg(*(F.sum(f"c{k}").alias(f"c{k}") for k in range(1, 5))).collect())  # one row a frequent word
     model.frequent_context = np.zeros((len(frequent), 4))
-    if len(hot):
-        np.add.at(model.frequent_context, np.searchsorted(frequent, hot[:, 0].astype(np.uint64)), hot[:, 1:])
+    if hot:
+        found = np.array(hot, np.int64)
+        model.frequent_context[np.searchsorted(frequent, found[:, 0].astype(np.uint64))] = found[:, 1:]
 
     def after(table):
         import pyarrow as pa
