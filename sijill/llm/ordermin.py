@@ -6,9 +6,10 @@ their number. A sketch takes, for each of several hash functions, the few k-mers
 lowest and joins them in the order in which they stand in the text, so two texts agree in a
 sketch if they share k-mers and their order.
 
-Texts of the same words form one node. Nodes that agree in a sketch meet in a bucket, where they
-are compared with one leader first, so that groups of copies become classes at a cost in
-proportion to the members. Buckets whose nodes aren't all of one class then are gone through in
+Texts of the same words form one node. Nodes that agree in a sketch meet in a bucket, which has a
+leader. A node is compared with the leader of most of its buckets first, then with those others of
+whose class it isn't yet, so that groups of copies become classes at a cost in proportion to the
+members. Buckets whose nodes aren't all of one class then are gone through in
 groups of bounded size, where nodes come with their words: numbers of words, and of words in each
 of some bins, are bounds that hold for certain; what they admit is aligned at once unless links
 already join it, and only links leave the group. So every two nodes of a bucket have been linked,
@@ -279,23 +280,47 @@ def others(members: DataFrame, of: DataFrame, least: float) -> DataFrame:
     return members.join(of, "node").groupBy("part", "split", "i", "j").applyInArrow(lambda t: within(t, least), "a long, b long")
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """df in reliable storage, without Catalyst's estimate of its size: joins multiply estimates, so that in loops over tables that are made of each other their digits would double each time."""
+    spark, df = df.sparkSession, checkpointed(df.sparkSession, df)
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(df._jdf.queryExecution().toRdd(), df._jdf.schema(), False), spark)
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(node, class) for all nodes of the links: least labels of neighbours, with shortcuts, until nothing changes."""
-    spark = links.sparkSession
-    both = checkpointed(spark, links.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("l")).select("l.a", "l.b").distinct())
-    labels = checkpointed(spark, both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("class")).select("node", F.least("node", "class").alias("class")))
+    """(node, class) for all nodes of the links, by contraction: each node points to its least neighbour, pointers are followed to their ends, and only links between different ends go on."""
+    both = settled(links.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("l")).select("l.a", "l.b").distinct())
+    labels = None
     while True:
-        of = labels.select(F.col("node").alias("a"), "class")
-        least = both.join(of, "a").groupBy(F.col("b").alias("node")).agg(F.min("class").alias("near"))
-        step = labels.join(least, "node").select("node", F.col("class").alias("was"), F.least("class", "near").alias("class"))
-        up = labels.select(F.col("node").alias("class"), F.col("class").alias("root"))
-        step = checkpointed(spark, step.join(up, "class").select("node", "was", F.least("class", "root").alias("class")))
-        changed = step.filter("was != class").limit(1).count()
-        labels = step.select("node", "class")
-        if not changed:
+        to = settled(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("class")).select("node", F.least("node", "class").alias("class")))
+        while True:
+            up = to.select(F.col("node").alias("class"), F.col("class").alias("root"))
+            step = settled(to.join(up, "class").select("node", F.col("class").alias("was"), F.col("root").alias("class")))
+            to = step.select("node", "class")
+            if step.filter("was != class").isEmpty():
+                break
+        labels = to if labels is None else replaced(labels, to)
+        both = settled(between(both, to).distinct())
+        if both.isEmpty():
             return labels
 
 
+def between(links: DataFrame, label: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes that label (node, class) has for the ends, without those within a class."""
+    ends = links.join(label.select(F.col("node").alias("a"), F.col("class").alias("x")), "a").join(label.select(F.col("node").alias("b"), F.col("class").alias("y")), "b")
+    return ends.filter("x != y").select(F.col("x").alias("a"), F.col("y").alias("b"))
+
+
+def replaced(label: DataFrame, to: DataFrame) -> DataFrame:
+    """label (node, class) with the classes that `to` (node, class) has for its classes."""
+    up = to.select(F.col("node").alias("class"), F.col("class").alias("root"))
+    return settled(label.join(up, "class", "left").select("node", F.coalesce("root", "class").alias("class")))
+
+
+def linked(label: DataFrame, links: DataFrame) -> DataFrame:
+    """label (node, class) after links (a, b) have joined classes."""
+    return replaced(label, components(between(links, label)))
+
+
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """One row a document: doc_id and class_id, the least doc_id of those it is alike to, directly or through others."""
     spark = docs.sparkSession
@@ -314,14 +339,16 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     members = checkpointed(spark, buckets.join(leaders, "key"))
     wanted = nodes.select("doc_id", "node").join(members.select("node").distinct(), "node", "left_semi")
     of = checkpointed(spark, found.select("doc_id", "node", "words").join(wanted, ["doc_id", "node"], "left_semi").select("node", "words").dropDuplicates(["node"]))
-    pairs = members.filter("node != leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    links = checkpointed(spark, links.unionByName(verified(pairs, of, least)))
-
-    known = members.join(components(links).withColumnRenamed("class", "root"), "node", "left")
-    known = known.select("key", "node", "n", F.coalesce("root", "node").alias("class"))
-    links = links.unionByName(checkpointed(spark, others(known, of, least)))
-
-    label = nodes.select("node", "doc_id").join(components(links), "node", "left").select("node", "doc_id", F.coalesce("class", "node").alias("class"))
+    # first each node meets one leader, that of most of its buckets; then those others of whose class it isn't yet
+    met = members.filter("node != leader").groupBy(F.col("node").alias("a"), F.col("leader").alias("b")).agg(F.count(F.lit(1)).alias("times"))
+    met = checkpointed(spark, met)
+    most = met.groupBy("a").agg(F.max(F.struct("times", F.xxhash64("b").alias("rank"), "b")).alias("m")).select("a", "m.b")
+    label = replaced(nodes.select("node", F.col("node").alias("class")), components(checkpointed(spark, links.unionByName(verified(most, of, least)))))
+    rest = met.select("a", "b").join(label.select(F.col("node").alias("a"), F.col("class").alias("x")), "a").join(label.select(F.col("node").alias("b"), F.col("class").alias("y")), "b")
+    label = linked(label, checkpointed(spark, verified(rest.filter("x != y").select("a", "b"), of, least)))
+    label = linked(label, checkpointed(spark, others(members.join(label, "node").select("key", "node", "n", "class"), of, least)))
+
+    label = nodes.select("node", "doc_id").join(label, "node")
     label = label.join(label.groupBy("class").agg(F.min("doc_id").alias("class_id")), "class").select("node", "class_id")
     return found.select("doc_id", "node").join(label, "node").groupBy("doc_id").agg(F.min("class_id").alias("class_id")).unionByName(unnamed)
 

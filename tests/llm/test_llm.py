@@ -671,6 +671,38 @@ def test_links_within_buckets():
         assert {i: root(of, i) for i in of} == {i: i % 10 for i in range(n)} and len(links) == n - 10
 
 
+def test_near_copies_meet_one_leader(spark, monkeypatch):
+    """In a group of n near copies about n pairs are compared and about n links followed, not one for each of their sketches, and again after each step."""
+    r = random.Random(4)
+    base = [f"w{r.randint(0, 10**6)}" for _ in range(60)]
+    rows = []
+    for i in range(400):
+        w = list(base)
+        for _ in range(1 + i % 3):
+            w[r.randrange(60)] = f"x{r.randint(0, 10**6)}"
+        rows.append((i, " ".join(w)))
+    met, followed = [], []
+    verified, components = ordermin.verified, ordermin.components
+    monkeypatch.setattr(ordermin, "verified", lambda pairs, *more: met.append(pairs.count()) or verified(pairs, *more))
+    monkeypatch.setattr(ordermin, "components", lambda links: followed.append(links.count()) or components(links))
+    got = {x.doc_id: x.class_id for x in ordermin.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == dict.fromkeys(range(400), 0)
+    assert 399 <= sum(followed) <= 440 and sum(met) <= 440, (met, followed)
+
+
+def test_components_against_brute_force(spark):
+    """Long chains, stars whose middle is the greatest or the least, links that repeat, and random ones."""
+    r = random.Random(9)
+    links = [(i, i + 1) for i in range(1500)] + [(2000 + i, 2999) for i in range(500)] + [(3000, 3001 + i) for i in range(500)] + [(2 * i, 2 * i + 2) for i in range(2000, 2300)][::-1]
+    links += [tuple(r.sample(range(5000, 6000), 2)) for _ in range(600)] + links[:20]
+    found = ordermin.components(spark.createDataFrame(links, "a long, b long")).collect()
+    of = {i: i for link in links for i in link}
+    for a, b in links:
+        x, y = sorted((root(of, a), root(of, b)))
+        of[y] = x
+    assert len(found) == len(of) and {x["node"]: x["class"] for x in found} == {i: root(of, i) for i in of}
+
+
 def test_near_duplicates_odd(odd_docs, no_docs):
     got = {r.doc_id: r.class_id for r in both(odd_docs, no_docs, ordermin.classes, 8)}  # one row a document
     assert got[1] == got[2] == got[3] == 1 and got[6] == 5 and got[7] == 7 and got[None] is None
