@@ -75,8 +75,8 @@ def relationships(found: DataFrame, docs: DataFrame) -> DataFrame:
 def topics(docs: DataFrame, found: DataFrame) -> DataFrame:
     n = found.groupBy("doc_slug").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_primary").alias("n_primary"))
     whole = docs.select("doc_slug").join(n, "doc_slug", "left").fillna(0, ["n", "n_primary"])
-    none = rows(whole.filter("n = 0"), [("has_topic_assignments", F.lit(False), "warning")])
-    return none.unionByName(rows(whole.filter("n > 0"), [("exactly_one_primary_topic", F.col("n_primary") == 1, "warning")]))
+    name = F.when(F.col("n") == 0, "has_topic_assignments").otherwise("exactly_one_primary_topic")
+    return rows(whole, [(name, (F.col("n") > 0) & (F.col("n_primary") == 1), "warning")])  # one pass, which works the topics out once
 
 
 def metadata(docs: DataFrame, body: str = "original_text") -> DataFrame:
