@@ -17,8 +17,10 @@ from ..functions import values as v
 def lines(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFrame:
     """key, pos, line (stripped), kind: P, C, A, X for headings, r for what may be a paragraph, t for text, b for a blank line."""
     line = F.col("line")
-    kind = (F.when(line == "", "b").when(line.rlike(v.PART), "P").when(line.rlike(v.CHAPTER), "C").when(line.rlike(v.ARTICLE), "A")
-            .when(line.rlike(v.ANNEX), "X").when(line.rlike(v.LETTER) | line.rlike(v.ORDINAL_PARAGRAPH), "r").otherwise("t"))
+    # a pattern takes time at each letter of a line, so its first words are asked for before
+    heads = lambda pattern, *words: text.begins(line, *words) & line.rlike(pattern)
+    kind = (F.when(line == "", "b").when(heads(v.PART, "الباب", "الجزء"), "P").when(heads(v.CHAPTER, "الفصل", "القسم"), "C").when(heads(v.ARTICLE, "المادة"), "A")
+            .when(heads(v.ANNEX, *v.ANNEX_WORDS), "X").when(F.substring(line, 2, 1).isin(".", "-", ")") & line.rlike(v.LETTER), "r").when(heads(v.ORDINAL_PARAGRAPH, *v.ORDINAL_WORDS), "r").otherwise("t"))
     found = docs.select(key, F.posexplode(text.lines(F.coalesce(F.col(body), F.lit("")))).alias("pos", "raw"))
     return found.withColumn("line", text.strip(F.col("raw"))).withColumn("kind", kind).drop("raw")
 
@@ -65,8 +67,8 @@ def sections(docs: DataFrame, key: str = "doc_id", body: str = "text") -> DataFr
 
 
 def flags(c) -> dict:
-    """Seven flags of a section's text; an exception alone doesn't make it relevant."""
-    out = {name: F.coalesce(c.rlike(pattern), F.lit(False)) for name, pattern in v.FLAGS.items()}
+    """Seven flags of a section's text; an exception alone doesn't make it relevant. First letters are met before edges of words and all alternatives."""
+    out = {name: F.coalesce(c.rlike(f"(?=[{v.FLAG_LETTERS[name]}]){pattern}"), F.lit(False)) for name, pattern in v.FLAGS.items()}
     relevant = F.lit(False)
     for name, flag in out.items():
         if name != "contains_exception":
