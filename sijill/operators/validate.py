@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions import values as v
+from ..sources.storage import checkpointed
 
 REQUIRED = ("doc_slug", "doc_id", "title_ar", "doc_type", "status", "source_url")
 
@@ -48,20 +49,26 @@ def versions(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def sections(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Repeated orders, empty texts, parents that aren't there: failures only, besides presence and the number of articles."""
+    """Repeated orders, empty texts, parents that aren't there: failures only, besides presence and the number of articles.
+
+    Each check reads the sections, so what they need of them is checkpointed; texts stay behind.
+    """
+    place = "list_position" if "list_position" in found.columns else "display_order"
+    leaking = F.exists(F.array(*[F.lit(a) for a in v.ARTIFACT_LINES]), lambda a: F.contains("original_text", a))
+    found = checkpointed(found.select("doc_slug", "version_id", "section_id", "display_order", "section_type", "parent_section_id", F.col(place).alias("place"),
+                                      filled(F.col("original_text")).alias("filled"), leaking.alias("leaking")))
     n = found.groupBy("doc_slug").agg(F.count(F.lit(1)).alias("n"))
     whole = docs.select("doc_slug").join(n, "doc_slug", "left").fillna(0, ["n"])
     out = rows(whole, [("has_sections", F.col("n") > 0, "warning")])
     out = out.unionByName(rows(whole.filter("n > 0"), [("article_count_info", F.lit(True), "info")]))
     repeat = F.row_number().over(Window.partitionBy("version_id", "display_order").orderBy("section_id"))
     out = out.unionByName(rows(found.withColumn("k", repeat).filter("k > 1"), [("unique_section_order", F.lit(False), "error")], F.col("section_id")))
-    empty = found.filter(~filled(F.col("original_text")) & ~F.col("section_type").isin("chapter", "part", "title"))
+    empty = found.filter(~F.col("filled") & ~F.col("section_type").isin("chapter", "part", "title"))
     out = out.unionByName(rows(empty, [("section_text_not_empty", F.lit(False), "warning")], F.col("section_id")))
     there = found.select(F.col("section_id").alias("parent_section_id"), F.col("doc_slug")).distinct()
     orphans = found.filter("parent_section_id is not null").join(there, ["doc_slug", "parent_section_id"], "left_anti")
     out = out.unionByName(rows(orphans, [("section_parent_fk", F.lit(False), "warning")], F.col("section_id")))
-    leaking = found.filter(F.exists(F.array(*[F.lit(a) for a in v.ARTIFACT_LINES]), lambda a: F.contains("original_text", a)))
-    first = leaking.groupBy("doc_slug").agg(F.min_by("section_id", "list_position" if "list_position" in found.columns else "display_order").alias("section_id"))
+    first = found.filter("leaking").groupBy("doc_slug").agg(F.min_by("section_id", "place").alias("section_id"))
     return out.unionByName(rows(first, [("ui_artifact_in_section_text", F.lit(False), "warning")], F.col("section_id")))
 
 
