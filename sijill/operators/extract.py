@@ -67,7 +67,8 @@ def trimmed_name(c: Column) -> Column:
 def named_institutions(c: Column) -> Column:
     """Institutions of a text as entity_type and entity_name_ar, kinds in their order, then the text's; repeats stay."""
     def named(kind: str, first: str) -> Column:
-        caught = F.regexp_extract_all(c, F.lit(rf"(?U)\b{first}\s+{v.ENTITY_WORD}(?:\s+{v.ENTITY_WORD}){{0,2}}"), F.lit(0))
+        letters = "".join(w[0] for w in first.removeprefix("(?:").split("|"))  # these are met before the edge of a word
+        caught = F.regexp_extract_all(c, F.lit(rf"(?U)(?=[{letters}])\b{first}\s+{v.ENTITY_WORD}(?:\s+{v.ENTITY_WORD}){{0,2}}"), F.lit(0))
         return F.transform(caught, lambda m: F.struct(F.lit(kind).alias("entity_type"), trimmed_name(m).alias("entity_name_ar")))
 
     return F.filter(F.concat(*[named(kind, first) for kind, first in v.ENTITY_KINDS]), lambda e: e["entity_name_ar"].isNotNull())

@@ -14,7 +14,10 @@ from ..functions import values as v
 def latest(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
     """For each key the row that is last by the order; map-side first, so frequent keys need no sort."""
     rest = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*rest), F.struct(*order)).alias("r")
+    if any(word in f.dataType.simpleString() for f in df.schema for word in ("map<", "variant", "interval")):  # these have no order
+        best = F.max_by(F.struct(*rest), F.struct(*order)).alias("r")
+    else:  # what the order and the row share, as long texts, is carried once
+        best = F.max(F.struct(*[F.col(c) for c in order], *[c for c in rest if c not in order])).alias("r")
     return df.groupBy(*keys).agg(best).select(*keys, *[f"r.{c}" for c in rest])
 
 

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from sijill.functions import text
 from sijill.functions import values as v
-from sijill.operators import topics, validate
+from sijill.operators import records, topics, validate
 from sijill.plans import catalogue
+from sijill.plans.corpus import TAXONOMY
+from sijill.plans.structure import structure
 
 DIR = "/root/testdata/sf0.001"
 
@@ -100,3 +102,21 @@ def test_topic_checks_by_case(spark):
     found = spark.createDataFrame([("a", True), ("b", True), ("b", True)], "doc_slug string, is_primary boolean")
     rows = sorted((r.doc_slug, r.check_name, r.passed, r.severity) for r in validate.topics(docs, found).collect())
     assert rows == [("a", "exactly_one_primary_topic", True, "warning"), ("b", "exactly_one_primary_topic", False, "warning"), ("c", "has_topic_assignments", False, "warning")]
+
+
+def test_structure_makes_only_what_is_asked_for(spark):
+    pages = catalogue.statutes(spark, DIR).select("doc_slug", "source_url", "title_ar", "text")
+    tables = structure(pages, TAXONOMY)
+    assert not tables.made and "sections" in tables and "cleaned" not in list(tables)
+    names = {r.role for r in tables["document_entities"].collect()}
+    assert names == {"issuer", "mentioned"} and set(tables.made) == {"cleaned", "document_entities"}
+    assert tables["sections"] is tables["sections"] and tables["sections"].count() > 0
+
+
+def test_latest_carries_a_text_once(spark):
+    df = spark.createDataFrame([("a", "x", 1, "p"), ("a", "y", None, "q"), ("b", None, 2, "r")], "k string, t string, n int, o string")
+    out = records.latest(df, ["k"], "t", "n")
+    assert sorted(out.collect()) == [("a", "y", None, "q"), ("b", None, 2, "r")] and out.columns == ["k", "t", "n", "o"]
+    assert "max_by" not in out._jdf.queryExecution().optimizedPlan().toString()
+    maps = df.withColumn("m", F.create_map("k", "o"))
+    assert sorted(r.m["a"] for r in records.latest(maps, ["k"], "t").collect() if "a" in r.m) == ["q"]
